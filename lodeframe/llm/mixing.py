@@ -96,10 +96,10 @@ def _first_words(text: bytes, n: int) -> bytes:
 
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        whole, rest, text = b["whole"].to_pylist(), b["rest"].to_pylist(), b["text"]
+        whole, rest, text = b["__whole"].to_pylist(), b["__rest"].to_pylist(), b["text"]
         rows = [i for i, n in enumerate(whole) for _ in range(n)]
         cutrows = [i for i, n in enumerate(rest) if n]
-        names = [n for n in b.schema.names if n not in ("whole", "rest")]
+        names = [n for n in b.schema.names if n not in ("__whole", "__rest")]
         if rows:
             yield b.take(pa.array(rows, pa.int64())).select(names)
         if cutrows:
@@ -119,9 +119,9 @@ def mixed_docs(docs: DataFrame, **options) -> DataFrame:
     """
     bounded_batches(docs.sparkSession)
     taken = mix(docs, **options).filter("taken > 0").select(
-        F.col("doc_id").alias("__id"), F.floor(F.col("taken") / F.col("size")).alias("whole"), (F.col("taken") % F.col("size")).alias("rest")
+        F.col("doc_id").alias("__id"), F.floor(F.col("taken") / F.col("size")).alias("__whole"), (F.col("taken") % F.col("size")).alias("__rest")
     )
     # a doc_id that occurs in several rows has one verdict; its rows are alike for the mix
-    taken = taken.groupBy("__id").agg(F.max_by("whole", F.col("whole") * 1_000_000_000 + F.col("rest")).alias("whole"), F.max("rest").alias("rest"))
+    taken = taken.groupBy("__id").agg(F.max(F.struct("__whole", "__rest")).alias("t")).select("__id", "t.*")
     rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["__id"])).drop("__id")
     return rows.mapInArrow(_copies, docs.schema)
