@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds by bytes, not only by rows: texts may be very long."""
+    """Bound what one Arrow batch holds by bytes, not only by rows: texts may be very long.
+
+    Python workers also get to see this package where they share the driver's disk.
+    """
+    env, root = spark.sparkContext.environment, str(Path(__file__).parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(key, str(2**31 - 1)).rstrip("bB")) > BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))

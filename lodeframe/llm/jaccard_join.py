@@ -197,18 +197,14 @@ def links(members: DataFrame, percent: int) -> DataFrame:
     classed = slim.drop("g1", "g2").join(classes, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node")
     mixed = classed.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("shingle")
     left = cut(classed.join(mixed, "shingle", "left_semi"))
-    blocks = cut(
-        left.groupBy("shingle", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("once")).alias("shared"))
-    )
-    pairs = _side(blocks, "a").join(_side(blocks, "b"), "shingle").filter(
-        (F.col("a_component") < F.col("b_component"))
-        & (F.col("a_most") * 100 >= F.col("b_least") * percent) & (F.col("b_most") * 100 >= F.col("a_least") * percent)
-        & (F.least("a_shared", "b_shared") * (100 + percent) >= (F.col("a_least") + F.col("b_least")) * percent)
-    ).select("shingle", "a_component", "b_component")
-    second = _side(left, "a").join(pairs, ["shingle", "a_component"]).join(_side(left, "b"), ["shingle", "b_component"])
-    # a pair is found at its first common shingle, after which this many can be left
+    # rows of a shingle and class that the filters can't tell apart are one block; only block pairs that pass expand
+    like = ["shingle", "component", "n", "once", "place"]
+    blocks = cut(left.select(*like).distinct())
     after = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
-    second = second.filter(_possible(percent, "a", "b") & _reaches(percent, after, "a", "b"))
+    # a pair is found at its first common shingle, after which at most `after` can be common
+    fits = (F.col("a_component") < F.col("b_component")) & _possible(percent, "a", "b") & _reaches(percent, after, "a", "b")
+    pairs = cut(_side(blocks, "a").join(_side(blocks, "b"), "shingle").filter(fits))
+    second = _side(left, "a").join(pairs, ["shingle", *(f"a_{c}" for c in like[1:])]).join(_side(left, "b"), ["shingle", *(f"b_{c}" for c in like[1:])])
     more = _verified(second.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")), members, percent)
     return found.union(more)
 
