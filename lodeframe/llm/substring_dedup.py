@@ -72,9 +72,8 @@ def _anchors(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarra
         yield hashes[first]
 
 
-NAMES = ["h1", "h2", "doc_id", "lo", "hi"]
-KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-SCHEMA = "h1 long, h2 long, doc_id long, lo int, hi int"
+#: A first place of a window under its hashes; or, with place -1, a run lo..hi-1 packed into h1. These rows are the bulk of the shuffle.
+SCHEMA = "h1 long, h2 long, doc_id long, place int"
 
 
 def _runs(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,7 +86,7 @@ def _runs(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _candidates(size: int, bits: int, sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First places of windows estimated to repeat (h1, h2 set), and runs already known to start elsewhere earlier."""
+    """First places of windows estimated to repeat, and runs already known to start elsewhere earlier."""
     vocabulary, seen = Vocabulary(), plane(sent, bits)
     for ids, words, counts in _split(batches):
         at, h1, h2, hashes, _ = _windows(vocabulary, words, counts, size)
@@ -103,16 +102,14 @@ def _candidates(size: int, bits: int, sent: Broadcast, batches: Iterator[pa.Reco
         first = np.flatnonzero(new)[np.cumsum(new) - 1]
         later = ~new & ((doc != doc[first]) | (place != place[first]))
         rd, lo, hi = _runs(doc[later], place[later])
-        none = np.full(len(rd), True)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.concat_arrays([pa.array(signed(h1[new])), pa.array(np.zeros(len(rd), np.int64), mask=none)]),
-                pa.concat_arrays([pa.array(signed(h2[new])), pa.array(np.zeros(len(rd), np.int64), mask=none)]),
+                pa.array(np.concatenate((signed(h1[new]), lo << 32 | hi))),
+                pa.array(np.concatenate((signed(h2[new]), np.zeros(len(rd), np.int64)))),
                 pa.array(np.concatenate((doc[new], rd))),
-                pa.array(np.concatenate((place[new], lo)).astype(np.int32)),
-                pa.array(np.concatenate((place[new] + 1, hi)).astype(np.int32)),
+                pa.array(np.concatenate((place[new], np.full(len(rd), -1))).astype(np.int32)),
             ],
-            NAMES,
+            ["h1", "h2", "doc_id", "place"],
         )
 
 
@@ -140,12 +137,13 @@ def removed_starts(docs: DataFrame, size: int = SIZE, sketch_bits: int = SKETCH_
     cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sent = repeated(cols, lambda batches: _anchors(size, batches), sketch_bits)
     found = cols.mapInArrow(lambda batches: _candidates(size, sketch_bits, sent, batches), SCHEMA)
-    # decided runs carry a null hash; they must not meet in one partition
-    key = [F.coalesce("h1", F.xxhash64("doc_id", "lo")).alias("h1"), F.coalesce("h2", F.lit(0)).alias("h2")]
-    found = found.select(*key, "doc_id", "lo", "hi", F.col("h1").isNull().alias("decided"))
-    first = F.min(F.when(~F.col("decided"), F.struct("doc_id", "lo"))).over(Window.partitionBy("h1", "h2"))
-    later = F.col("decided") | (F.col("first") != F.struct("doc_id", "lo"))
-    return found.withColumn("first", first).filter(later).select("doc_id", "lo", "hi")
+    run = F.col("place") < 0
+    first = F.min(F.when(~run, F.struct("doc_id", "place"))).over(Window.partitionBy("h1", "h2"))
+    later = found.withColumn("first", first).filter(run | (F.col("first") != F.struct("doc_id", "place")))
+    return later.select(
+        "doc_id", F.when(run, F.shiftright("h1", 32)).otherwise(F.col("place")).cast("int").alias("lo"),
+        F.when(run, F.col("h1").bitwiseAND(F.lit(2**32 - 1))).otherwise(F.col("place") + 1).cast("int").alias("hi"),
+    )
 
 
 def without_repeats(docs: DataFrame, size: int = SIZE, sketch_bits: int = SKETCH_BITS, digest: bool = False) -> DataFrame:
