@@ -49,7 +49,9 @@ def numbered(clusters: DataFrame) -> DataFrame:
 def campus_names(df: DataFrame) -> DataFrame:
     """cluster, company, centre, code, name: modal city, else modal campus name without its company, else LOC and the centre."""
     stripped = df.withColumn("campus_name", without_company("campus_name", "company_clean"))
-    base = df.filter("cluster IS NOT NULL").groupBy("cluster").agg(F.min("company_clean").alias("company_clean"), F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
+    base = df.filter("cluster IS NOT NULL").groupBy("cluster").agg(
+        F.min("company_clean").alias("company_clean"), F.round(F.avg("latitude"), 7).alias("latitude"), F.round(F.avg("longitude"), 7).alias("longitude")
+    )  # rounded: the order of a sum must not decide the order of campuses
     base = base.join(modal(df, ["cluster"], "city"), "cluster", "left").join(modal(stripped, ["cluster"], "campus_name"), "cluster", "left")
     at = lambda c: F.format_string("%.1f", F.abs(F.col(c)))
     place = F.replace(F.concat(F.lit("LOC"), at("latitude"), at("longitude")), F.lit("."), F.lit(""))
