@@ -57,7 +57,7 @@ def haversine(lat1: Col, lon1: Col, lat2: Col, lon2: Col) -> Column:
     """Great-circle metres; null if any part is null."""
     a, b, c, d = (F.radians(col(x)) for x in (lat1, lon1, lat2, lon2))
     h = F.pow(F.sin((c - a) / 2), F.lit(2.0)) + F.cos(a) * F.cos(c) * F.pow(F.sin((d - b) / 2), F.lit(2.0))
-    return F.lit(2 * C.EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    return F.lit(2 * C.EARTH_RADIUS_M) * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
 
 
 def planar_degrees(lat1: Col, lon1: Col, lat2: Col, lon2: Col) -> Column:

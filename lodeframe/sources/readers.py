@@ -139,7 +139,7 @@ def session_log(spark: SparkSession, path: str, limit: int = 3) -> DataFrame:
     part = F.explode(F.filter(F.split("value", r"(?m)^## "), lambda s: s.rlike(r"^\d{4}-\d{2}-\d{2}")))
     s = text.select(part.alias("s"))
     head = F.substring_index("s", "\n", 1)
-    out = s.select(F.regexp_extract("s", r"^(\d{4}-\d{2}-\d{2})", 1).alias("day"), F.trim(F.regexp_replace(head, r"^\d{4}-\d{2}-\d{2}[\s:-]*", "")).alias("title"), F.trim(F.substring(F.col("s"), F.length(head) + 1, F.length("s"))).alias("body"))
+    out = s.select(F.regexp_extract("s", r"^(\d{4}-\d{2}-\d{2})", 1).alias("day"), F.trim(F.regexp_replace(head, r"^\d{4}-\d{2}-\d{2}[\s:-]*", "")).alias("title"), F.regexp_replace(F.substring(F.col("s"), F.length(head) + 1, F.length("s")), r"^\s+|\s+$", "").alias("body"))
     return out.orderBy(F.desc("day"), "title").limit(limit)
 
 
