@@ -171,7 +171,7 @@ def canonical_company(c: Col) -> Column:
         base = F.trim(F.substring_index(s, "(", 1))
         return F.coalesce(look_up(s, exact), look_up(F.lower(s), lower), look_up(base, exact), look_up(F.lower(base), lower))
 
-    parts = F.transform(F.split(F.trim(col(c)), r"\|"), F.trim)
+    parts = F.transform(F.split(F.trim(col(c)), r"\|"), lambda p: F.trim(p))
     return F.when(col(c) != "", F.coalesce(F.get(F.filter(F.transform(parts, known), lambda x: x.isNotNull()), F.lit(0)), F.get(parts, F.lit(0))))
 
 
@@ -311,7 +311,7 @@ def first_organisation(c: Col) -> Column:
 
 def city_of_location(location: Col, county: Col) -> Column:
     """City in a location text: the part with a state code, else the first part, or the second after a site's name."""
-    parts = F.transform(F.split(F.regexp_replace(col(location), r"\s*\([^)]*\)", ""), ","), F.trim)
+    parts = F.transform(F.split(F.regexp_replace(col(location), r"\s*\([^)]*\)", ""), ","), lambda p: F.trim(p))
     parts = F.filter(parts, lambda p: ~p.isin("United States of America", "USA") & ~p.contains("County") & ~p.contains("Parish"))
     coded = F.get(F.filter(parts, lambda p: p.rlike(r"\b[A-Z]{2}\b")), F.lit(0))
     head, second = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
