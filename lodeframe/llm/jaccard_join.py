@@ -28,15 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeframe.llm.common import bounded_batches, cut, select_ids
-from lodeframe.llm.sketch import plane, repeated, twice
+from lodeframe.llm.sketch import cells_of, class_table, frequency_classes, plane, repeated, twice
 from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, windows
 from lodeframe.operators.components import connected_components
 
 WORDS, PERCENT = 5, 80
 #: Cells per sketch row (two rows): the plane that is sent to tasks has 32 MB.
 SKETCH_BITS = 27
-#: Most shingles whose frequency class is known; it only orders shingles, links don't depend on it.
-FREQUENT, LOCAL_COUNT = 200_000, 8
+#: Cells of the counts that give frequency classes (4 MB); classes order shingles, links don't depend on them.
+CLASS_BITS = 22
 LAST_ID = 2**63 - 1
 
 
@@ -114,30 +114,12 @@ def _all(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate([*_lists(b["shingles"]), np.zeros(0, np.uint64)])
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles frequent within a run of sets, with their counts."""
-    held, size = [], 0
-
-    def out() -> pa.RecordBatch:
-        values, counts = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
-        often = counts >= LOCAL_COUNT
-        return pa.RecordBatch.from_arrays([pa.array(signed(values[often])), pa.array(counts[often].astype(np.int64))], ["shingle", "n"])
-
-    for b in batches:
-        held += _lists(b["shingles"])
-        size += sum(len(x) for x in held[-len(b):]) if len(b) else 0
-        if size > 2_000_000:
-            yield out()
-            held, size = [], 0
-    yield out()
-
-
 MEMBERS = "id long, n int, once int, g1 long, g2 long, places array<int>, prefix array<long>, shingles array<long>"
 
 
-def _ordered(percent: int, bits: int, sent: Broadcast, frequent: np.ndarray, classes: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ordered(percent: int, bits: int, sent: Broadcast, classes: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members that may have links: sizes, shingles that occur once, group key and the rest of the prefix in order."""
-    seen = plane(sent, bits)
+    seen, classes = plane(sent, bits), class_table(classes)
     for b in batches:
         sets, rows = _lists(b["shingles"]), []
         shared = np.split(twice(seen, np.concatenate([*sets, np.zeros(0, np.uint64)]), bits), np.cumsum([len(s) for s in sets])[:-1])
@@ -146,8 +128,7 @@ def _ordered(percent: int, bits: int, sent: Broadcast, frequent: np.ndarray, cla
             if once >= p:
                 continue
             rest = s[more]
-            at = np.minimum(np.searchsorted(frequent, rest), max(0, len(frequent) - 1))
-            grade = np.where(frequent[at] == rest, classes[at], 0) if len(frequent) else np.zeros(len(rest), np.int8)
+            grade = classes[cells_of(rest, CLASS_BITS, 0)]
             prefix = rest[np.lexsort((rest, grade))][: p - once]
             key = xxhash.xxh3_128_digest(prefix.tobytes() + len(s).to_bytes(8, "little"))
             g1, g2 = np.frombuffer(key, np.int64).tolist()
@@ -230,13 +211,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     held = held.join(firsts, ["d1", "d2"]).filter("doc_id = member").dropDuplicates(["d1", "d2"]).select("doc_id", "shingles")
     held = cut(held)
     full = repeated(held, _all, sketch_bits)
-    counted = held.mapInArrow(_counted, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    # at most FREQUENT rows; they order shingles and nothing else
-    top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()
-    frequent = np.array([r["shingle"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(frequent)
-    grade = np.array([int(r["n"]).bit_length() for r in top], np.int8)
-    members = cut(held.mapInArrow(partial(_ordered, percent, sketch_bits, full, frequent[order], grade[order]), MEMBERS))
+    classes = frequency_classes(held, _all, CLASS_BITS)
+    members = cut(held.mapInArrow(partial(_ordered, percent, sketch_bits, full, classes), MEMBERS))
     classes = cut(connected_components(links(members, percent)))
     firsts = firsts.join(classes, F.col("member") == F.col("node"), "left").select("d1", "d2", F.coalesce("component", "member").alias("class"))
     out = narrow.join(firsts, ["d1", "d2"], "left")

@@ -1,4 +1,4 @@
-"""Count-min sketches with counters that stop at two, as two bit planes.
+"""Count-min sketches: counters that stop at two, as two bit planes, and plain counters for frequency classes.
 
 Every partition fills its own sketch; sketches are merged shard by shard, in two steps so that no
 task gets one row per partition of a large input; what remains, one bit per cell ("estimated twice
@@ -117,15 +117,55 @@ def repeated(df: DataFrame, values_of: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.sparkSession.sparkContext.broadcast([planes.get(i) for i in range(SHARDS)])
 
 
-_OPENED: dict[str, np.ndarray] = {}
+COUNTS = "shard int, salt int, counts binary"
+
+
+def _count_rows(counts: np.ndarray, salt: int, shards: list[int]) -> pa.RecordBatch:
+    pack = zstandard.ZstdCompressor(level=1).compress
+    parts = [pack(x.tobytes()) for x in counts.reshape(len(shards), -1)]
+    return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array([salt] * len(shards), pa.int32()), pa.array(parts, pa.binary())], ["shard", "salt", "counts"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    open_ = zstandard.ZstdDecompressor().decompress
+    held: dict[int, np.ndarray] = {}
+    for b in batches:
+        for shard, x in zip(b["shard"].to_pylist(), b["counts"]):
+            counts = np.frombuffer(open_(x.as_py()), np.uint32)
+            held[shard] = held[shard] + np.minimum(counts, 2**32 - 1 - held[shard]) if shard in held else counts
+    for shard, counts in held.items():
+        yield _count_rows(counts, 0, [shard])
+
+
+def frequency_classes(df: DataFrame, values_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int) -> Broadcast:
+    """Per cell the binary logarithm of the count of its values over df: 2**bits bytes, whatever the input."""
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        counts = np.zeros(1 << bits, np.uint32)
+        for values in values_of(batches):
+            cells, n = np.unique(cells_of(values, bits, 0), return_counts=True)
+            counts[cells] += n.astype(np.uint32)
+        yield _count_rows(counts, TaskContext.get().partitionId() % SALTS, list(range(SHARDS)))
+
+    parts = df.mapInArrow(filled, COUNTS)
+    parts = parts.repartition(F.col("shard"), F.col("salt")).mapInArrow(_summed, COUNTS)
+    rows = parts.repartition(F.col("shard")).mapInArrow(_summed, COUNTS).select("shard", "counts").collect()  # SHARDS rows of fixed size
+    open_ = zstandard.ZstdDecompressor().decompress
+    classes = np.zeros((SHARDS, (1 << bits) // SHARDS), np.uint8)
+    for r in rows:
+        counts = np.frombuffer(open_(bytes(r["counts"])), np.uint32)
+        classes[r["shard"]] = np.ceil(np.log2(counts.astype(np.float64) + 1)).astype(np.uint8)
+    return df.sparkSession.sparkContext.broadcast(zstandard.ZstdCompressor(level=1).compress(classes.tobytes()))
+
+
+def class_table(sent: Broadcast) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(sent.value), np.uint8)
 
 
 def plane(sent: Broadcast, bits: int, depth: int = 2) -> np.ndarray:
-    """The plane in a worker, unpacked once."""
-    key = str(sent._path)
-    if key not in _OPENED:
-        _OPENED.clear()
-        open_ = zstandard.ZstdDecompressor().decompress
-        size = (depth << bits) // 8 // SHARDS
-        _OPENED[key] = np.concatenate([np.frombuffer(open_(x), np.uint8) if x else np.zeros(size, np.uint8) for x in sent.value])
-    return _OPENED[key]
+    """The plane in a worker, unpacked for one task and freed with it."""
+    open_ = zstandard.ZstdDecompressor().decompress
+    size = (depth << bits) // 8 // SHARDS
+    return np.concatenate([np.frombuffer(open_(x), np.uint8) if x else np.zeros(size, np.uint8) for x in sent.value])
