@@ -17,7 +17,7 @@ MASK = (1 << 64) - 1
 #: Odd multipliers of the two rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Bytes of text worked on at once, and words remembered by a worker.
-CHUNK_BYTES, VOCABULARY = 3 << 20, 300_000
+CHUNK_BYTES, VOCABULARY = 2 << 20, 200_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
