@@ -25,7 +25,10 @@ CAPACITY, END_ID, VOCABULARY = 2048, 0, "word_bpe_49k.json"
 #: Pieces of one length that one task ranks.
 SALT_ROWS = 50_000
 #: Words remembered by each of the two generations of a worker's cache.
-WORDS = 200_000
+WORDS = 300_000
+#: Words that lower-casing and composing leave alone, and that are one run of letters.
+LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+PROBES = ("the", "hello", "internationalization", "zzqx", "naïve", "straße", "éclair", "ß", "ÿ", "ångström", "doppelgängerin")
 TAIL = re.compile(rb"[.,;:!?%$#&*]+$")
 
 
@@ -41,11 +44,25 @@ class WordIds(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.model = tokenizer.encode, tokenizer.model
         self.before: dict[bytes, bytes] = {}
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        #: The character that stands for each byte in a byte-level vocabulary.
+        self.alphabet = dict(zip(shown, map(chr, shown))) | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        # plain words may go straight to the model, if the probes say that this tokenizer does nothing else to them
+        self.direct = all(self.by_model(w.encode()) == self.whole(w.encode()) for w in PROBES)
+
+    def whole(self, word: bytes) -> list[int]:
+        return self.encode(word.decode(), add_special_tokens=False).ids
+
+    def by_model(self, word: bytes) -> list[int]:
+        return [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.alphabet))]
 
     def fresh(self, word: bytes) -> bytes:
-        return np.array(self.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.by_model(word) if self.direct and LETTERS.fullmatch(word.decode()) else self.whole(word)
+        return np.array(ids, "<u4").tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= WORDS:
