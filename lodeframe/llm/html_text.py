@@ -31,7 +31,7 @@ STOP_WORDS = frozenset(
     "au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur mais ne nous on ou où par pas plus pour qu que qui sa se ses son sont sur un une vous à "
     "al como con cuando del desde donde el ella ellos en entre era es esta este fue ha hay la las lo los me mi muy más no o para pero por porque que se ser si sin sobre su sus también te tiene todo un una y ya".split()
 )
-LINK_DENSITY, SHORT, LONG, STOP_LOW, STOP_HIGH = 0.4, 60, 160, 0.15, 0.25
+LINK_DENSITY, SHORT, LONG, STOP_LOW, STOP_HIGH = 0.4, 60, 100, 0.15, 0.25
 
 BLOCKS = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main "
@@ -189,6 +189,8 @@ def main_text(page: str) -> str:
     else:
         edge = "bad"
     first = [_class(b, t) for b, t in found]
+    if "good" not in first:  # the best there is counts as the text
+        first = ["good" if c == "near" else c for c in first]
     label = list(first)
     decided = [c if c in ("good", "bad") else None for c in first]
     before, last = [], (edge, -1)

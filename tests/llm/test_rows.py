@@ -1,6 +1,7 @@
 """Operators that judge each row by itself, and mixing, against plain models."""
 
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -92,7 +93,7 @@ def test_viterbi_is_the_best_path():
 def test_pii_finds_more_than_patterns(spark):
     rows = [(1, "please call (212) 555-0142 today"), (2, "server ip 10[.]1[.]2[.]3 is down"), (3, "the quick brown fox of 2019 has 12345678 parts, version 3.1.")]
     got = {r["doc_id"]: r["spans"] for r in pii.find_pii(docs(spark, rows)).collect()}
-    assert got == {1: "phone:12:26", 2: "ip:10:25", 3: ""}
+    assert got == {1: "phone:12:26", 2: "ip:10:24", 3: ""}
 
 
 def test_licenses_base(spark):
@@ -172,7 +173,7 @@ def test_mix_budgets(spark):
         s = source[r["doc_id"]]
         assert r["source_size"] == size[s] and r["target"] == pytest.approx(target[s]) and 0 <= r["taken"] <= 3 * r["size"]
         taken[s] = taken.get(s, 0) + r["taken"]
-    assert taken == {s: round(target[s]) for s in order}
+    assert taken == {s: math.floor(target[s] + 0.5) for s in order}
     assert {r["doc_id"]: r["taken"] for r in mix(docs(spark, rows[::-1]), ranges=64).repartition(3).collect()} == {r["doc_id"]: r["taken"] for r in got}
 
 
