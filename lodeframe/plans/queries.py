@@ -546,12 +546,13 @@ def agg_31_source_scores(spark, sf):
 
 # --- statistics
 
-_ACC = """count_if({a} > 0 AND {p} > 0)::BIGINT AS n, round(avg(CASE WHEN {a} > 0 AND {p} > 0 THEN abs({a} - {p}) / {a} END) * 100, 4) AS mape, round(avg(CASE WHEN {a} > 0 AND {p} > 0 THEN {p} - {a} END), 4) AS bias,
-    round(sqrt(avg(CASE WHEN {a} > 0 AND {p} > 0 THEN ({p} - {a}) * ({p} - {a}) END)), 4) AS rmse, round(corr(CASE WHEN {a} > 0 AND {p} > 0 THEN {a} END, CASE WHEN {a} > 0 AND {p} > 0 THEN {p} END), 6) AS r"""
+_OK = "a > 0 AND p > 0"
+_ACC = f"""count_if({_OK})::BIGINT AS n, CASE WHEN count_if({_OK}) >= 5 THEN round(avg(abs(a - p) / a) FILTER (WHERE {_OK}) * 100, 4) END AS mape, CASE WHEN count_if({_OK}) >= 5 THEN round(avg(p - a) FILTER (WHERE {_OK}), 4) END AS bias,
+    CASE WHEN count_if({_OK}) >= 5 THEN round(sqrt(avg((p - a) * (p - a)) FILTER (WHERE {_OK})), 4) END AS rmse, CASE WHEN count_if({_OK}) >= 5 THEN round(corr(a, p) FILTER (WHERE {_OK}), 6) END AS r"""
 
 
-@query(f"""{WITH_B.replace('RECURSIVE ', '')}, m AS (SELECT b.source, b.full_capacity_mw AS p, t.load AS a FROM b JOIN t ON b.id % 100 + 1 = t.id), s AS (SELECT source, {_ACC.format(a='a', p='p')} FROM m GROUP BY source)
-    SELECT *, CASE WHEN mape <= 10 THEN 'A' WHEN mape <= 20 THEN 'B' WHEN mape <= 35 THEN 'C' WHEN mape <= 50 THEN 'D' ELSE 'F' END AS grade FROM s""")
+@query(f"""{WITH_B.replace('RECURSIVE ', '')}, m AS (SELECT b.source, b.full_capacity_mw AS p, t.load AS a FROM b JOIN t ON b.id % 100 + 1 = t.id), s AS (SELECT source, {_ACC} FROM m GROUP BY source)
+    SELECT *, CASE WHEN mape IS NULL THEN 'N/A' WHEN mape <= 10 THEN 'A' WHEN mape <= 20 THEN 'B' WHEN mape <= 35 THEN 'C' WHEN mape <= 50 THEN 'D' ELSE 'F' END AS grade FROM s""")
 def stat_01_accuracy(spark, sf):
     m = buildings(spark, sf).withColumn("k", F.col("id") % 100 + 1).join(truth(spark, sf).select(F.col("id").alias("k"), "load"), "k")
     out = accuracy.accuracy_by(m, ["source"], "load", "full_capacity_mw").select("source", "n", "mape", "bias", "rmse", "r", "grade")
@@ -599,7 +600,7 @@ def agg_59_regional_recall(spark, sf):
 
 
 @query(f"""{WITH_B.replace('RECURSIVE ', '')}, m AS (SELECT b.source, b.full_capacity_mw AS p, t.load AS a FROM b JOIN t ON b.id % 100 + 1 = t.id), g(factor) AS (VALUES (1.0::DOUBLE), (1.3::DOUBLE))
-    SELECT source, factor, count_if(a > 0 AND p > 0)::BIGINT AS n, round(avg(CASE WHEN a > 0 AND p > 0 THEN abs(a - p / factor) / a END) * 100, 4) AS mape, round(avg(CASE WHEN a > 0 AND p > 0 THEN p / factor / a END), 4) AS ratio FROM m, g GROUP BY source, factor""")
+    SELECT source, factor, count_if(a > 0 AND p > 0)::BIGINT AS n, CASE WHEN count_if(a > 0 AND p > 0) >= 3 THEN round(avg(CASE WHEN a > 0 AND p > 0 THEN abs(a - p / factor) / a END) * 100, 4) END AS mape, round(avg(CASE WHEN a > 0 AND p > 0 THEN p / factor / a END), 4) AS ratio FROM m, g GROUP BY source, factor""")
 def stat_29_variance_grid(spark, sf):
     m = buildings(spark, sf).withColumn("k", F.col("id") % 100 + 1).join(truth(spark, sf).select(F.col("id").alias("k"), "load"), "k").withColumn("build_status", F.lit("x"))
     return rounded(accuracy.variance_grid(m, "load", ["full_capacity_mw"], [1.0, 1.3], ["all"]).select("source", "factor", "n", "mape", "ratio"), "mape", "ratio")
