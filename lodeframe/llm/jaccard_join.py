@@ -7,8 +7,8 @@ that occurs once can't be it, so a set whose prefix is all such shingles is out.
 occur once comes from count-min sketches, whose estimates are never too low.
 
 Members with the same size and the same rest of the prefix are one group. The index holds groups.
-A first round compares, per shingle, its hub (the group with the fewest unique shingles) with the
-other groups, and each group's hub with its members; verified links give first classes. The
+A first round compares, per shingle, its hub (of the group with the fewest unique shingles) with the
+members of the other groups, and each group's hub with its members; verified links give first classes. The
 second round takes what is left, all of it: group pairs of different classes under one
 shingle, filtered by size and by what their unique and later shingles leave possible, then
 expanded to members and verified. A pair inside one class needs no comparison, since only classes
@@ -170,7 +170,8 @@ def links(members: DataFrame, percent: int) -> DataFrame:
     heads = slim.join(groups.select(F.col("hub.id").alias("id")), "id", "left_semi").drop("g1", "g2")
 
     hubs = heads.groupBy("shingle").agg(F.min(F.struct("once", "id", "n", "place")).alias("h"), F.count("*").alias("size")).filter("size > 1").select("shingle", "h.*")
-    first = _side(heads, "b").join(_side(hubs, "a"), "shingle").filter("a_id != b_id").filter(_possible(percent, "a", "b"))
+    # every member meets the hubs, not only its group's: a group shares a prefix, not the rest of its sets
+    first = _side(slim.drop("g1", "g2"), "b").join(_side(hubs, "a"), "shingle").filter("a_id != b_id").filter(_possible(percent, "a", "b"))
     found = cut(_verified(first.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).union(within), members, percent))
     classes = cut(connected_components(found))
 
