@@ -102,6 +102,9 @@ def _candidates(size: int, bits: int, sent: Broadcast, batches: Iterator[pa.Reco
         first = np.flatnonzero(new)[np.cumsum(new) - 1]
         later = ~new & ((doc != doc[first]) | (place != place[first]))
         rd, lo, hi = _runs(doc[later], place[later])
+        # in the order of the texts: neighbouring rows then differ little and compress well
+        new = np.flatnonzero(new)
+        new = new[np.lexsort((place[new], doc[new]))]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate((signed(h1[new]), lo << 32 | hi))),
