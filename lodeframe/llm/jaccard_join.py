@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lodeframe.llm.common import bounded_batches, cut, select_ids
 from lodeframe.llm.sketch import cells_of, class_table, frequency_classes, plane, repeated, twice
-from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, windows
+from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, vocabulary, windows
 from lodeframe.operators.components import connected_components
 
 WORDS, PERCENT = 5, 80
@@ -40,14 +40,14 @@ CLASS_BITS = 22
 LAST_ID = 2**63 - 1
 
 
-def shingle_sets(vocabulary: Vocabulary, texts: list[bytes], n: int) -> list[np.ndarray]:
+def shingle_sets(known: Vocabulary, texts: list[bytes], n: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's n-word shingles; of all its words, if there are fewer."""
     split = [t.lower().split() for t in texts]
     counts = np.array([len(w) for w in split], np.int64)
     words = [w for ws in split for w in ws]
     out = [np.zeros(0, np.uint64)] * len(texts)
     if len(words) >= n:
-        low, high = vocabulary.hashes(words)
+        low, high = known.hashes(words)
         every = mix(windows(low, n, BASES[0])) ^ mix(windows(high, n, BASES[1]) + np.uint64(1))
         _, _, left = places(counts)
         valid = left[: len(every)] >= n
@@ -71,10 +71,10 @@ def _half(s: np.ndarray) -> np.ndarray:
 
 
 def _sampled(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    vocabulary = Vocabulary()
+    known = vocabulary()
     for b in batches:
         for _, texts in chunks([None] * len(b), b["text"]):
-            sets = {s.tobytes(): s for s in shingle_sets(vocabulary, texts, n)}
+            sets = {s.tobytes(): s for s in shingle_sets(known, texts, n)}
             yield _half(np.concatenate([*sets.values(), np.zeros(0, np.uint64)]))
 
 
@@ -83,10 +83,10 @@ SETS = "doc_id long, n int, d1 long, d2 long, shingles array<long>"
 
 def _sets(n: int, percent: int, bits: int, sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document; shingles only where a link is possible, and once per distinct set of a chunk (its least id)."""
-    vocabulary, seen = Vocabulary(), plane(sent, bits)
+    known, seen = vocabulary(), plane(sent, bits)
     for b in batches:
         for ids, texts in chunks(b["doc_id"].to_pylist(), b["text"]):
-            sets = shingle_sets(vocabulary, texts, n)
+            sets = shingle_sets(known, texts, n)
             halves = [_half(s) for s in sets]
             shared = twice(seen, np.concatenate([*halves, np.zeros(0, np.uint64)]), bits)
             once = [int(np.count_nonzero(~x)) for x in np.split(shared, np.cumsum([len(h) for h in halves])[:-1])]

@@ -15,13 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeframe.llm.common import bounded_batches, cut
-from lodeframe.llm.textkit import utf8, word_counts
+from lodeframe.llm.textkit import held, utf8, word_counts
 
 RANGES = 1024
 SEED = "mix-1:"
 
 
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held("none")
     for b in batches:
         yield pa.RecordBatch.from_arrays([b["doc_id"], b["source"], pa.array(word_counts(b["text"]), pa.int64())], ["doc_id", "source", "size"])
 
@@ -95,6 +96,7 @@ def _first_words(text: bytes, n: int) -> bytes:
 
 
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held("none")
     for b in batches:
         whole, rest, text = b["__whole"].to_pylist(), b["__rest"].to_pylist(), b["text"]
         rows = [i for i, n in enumerate(whole) for _ in range(n)]

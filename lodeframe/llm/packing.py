@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeframe.llm.common import bounded_batches, cut
-from lodeframe.llm.textkit import utf8
+from lodeframe.llm.textkit import held, utf8
 
 CAPACITY, END_ID, VOCABULARY = 2048, 0, "word_bpe_49k.json"
 #: Pieces of one length that one task ranks.
 SALT_ROWS = 50_000
 #: Words remembered by each of the two generations of a worker's cache.
-WORDS = 300_000
+WORDS = 200_000
 #: Words that lower-casing and composing leave alone, and that are one run of letters.
 LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 PROBES = ("the", "hello", "internationalization", "zzqx", "naïve", "straße", "éclair", "ß", "ÿ", "ångström", "doppelgängerin")
@@ -85,12 +85,8 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, words))
 
 
-_CACHES: dict[str, WordIds] = {}
-
-
 def _pieces(path: str, capacity: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ids = _CACHES.setdefault(path, None) or WordIds(path)
-    _CACHES[path] = ids
+    ids = held(f"ids {path}", lambda: WordIds(path))
     names, kinds = ["doc_id", "piece", "start", "length", "ids_crc32"], [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
     end = np.array([END_ID], "<u4").tobytes()
     for b in batches:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeframe.llm.common import bounded_batches
-from lodeframe.llm.textkit import chunks
+from lodeframe.llm.textkit import chunks, held
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -382,6 +382,7 @@ def find_pii(docs: DataFrame, field: Field | None = None) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("none")
         tagger = Tagger(field)
         for b in batches:
             for ids, texts in chunks(b["doc_id"].to_pylist(), b["text"]):

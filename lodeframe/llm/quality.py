@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeframe.llm.common import bounded_batches, cut, select_ids
-from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, windows
+from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, vocabulary, windows
 
 LEVEL, CHUNK = 3, 4096
 #: (bytes up to, least ratio, largest ratio): bands of whole texts by length.
@@ -57,12 +57,12 @@ def duplicate_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def repeated_words(vocabulary: Vocabulary, words: list[bytes], counts: np.ndarray, n: int = 3) -> np.ndarray:
+def repeated_words(seen: Vocabulary, words: list[bytes], counts: np.ndarray, n: int = 3) -> np.ndarray:
     """Per text: words in a window of n words that the text has twice or more."""
     text, _, left = places(counts)
     if len(words) < n:
         return np.zeros(len(counts), np.int64)
-    low, high = vocabulary.hashes(words)
+    low, high = seen.hashes(words)
     key = mix(windows(low, n, BASES[0])) ^ mix(windows(high, n, BASES[1]))
     at = np.flatnonzero(left[: len(key)] >= n)
     key = mix(key[at] + text[at].astype(np.uint64) * np.uint64(BASES[0]))
@@ -79,7 +79,7 @@ def repeated_words(vocabulary: Vocabulary, words: list[bytes], counts: np.ndarra
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    vocabulary, ratios = Vocabulary(), Ratios()
+    seen, ratios = vocabulary(), Ratios()
     every = bytes(range(256))
     rest = bytes(x for x in range(256) if x not in SYMBOLS)
     trailing = bytes(range(0x80, 0xC0))
@@ -87,7 +87,7 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in chunks(b["doc_id"].to_pylist(), b["text"]):
             split = [t.split() for t in texts]
             counts = np.array([len(w) for w in split], np.int64)
-            repeat = repeated_words(vocabulary, [w for ws in split for w in ws], counts)
+            repeat = repeated_words(seen, [w for ws in split for w in ws], counts)
             out = []
             for doc_id, t, ws, n, r in zip(ids, texts, split, counts.tolist(), repeat.tolist(), strict=True):
                 chars = len(t.translate(every, trailing + b" \t\n\x0b\x0c\r"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lodeframe.llm.common import bounded_batches
 from lodeframe.llm.sketch import plane, repeated, twice
-from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, utf8, windows
+from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, utf8, vocabulary, windows
 
 SIZE = 20
 #: Cells per sketch row (two rows): the plane that is sent to tasks has 16 MB.
@@ -35,14 +35,14 @@ LAST_ID = 2**63 - 1
 PLACE_BITS = np.uint64(30)
 
 
-def _windows(vocabulary: Vocabulary, words: list[bytes], counts: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+def _windows(known: Vocabulary, words: list[bytes], counts: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """Places where a window starts; two hashes of each window; hash and place of its anchor."""
     half = max(1, size // 2)
     none = np.zeros(0, np.int64)
     if len(words) < size:
         return none, none.view(np.uint64), none.view(np.uint64), none.view(np.uint64), none
     _, _, left = places(counts)
-    low, high = vocabulary.hashes(words)
+    low, high = known.hashes(words)
     block = mix(windows(low, half, BASES[0]))
     at = np.flatnonzero(left[: len(words) - size + 1] >= size)
     key = (block >> PLACE_BITS << PLACE_BITS) | np.arange(len(block), dtype=np.uint64)
@@ -64,9 +64,9 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes
 
 
 def _anchors(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    vocabulary = Vocabulary()
+    known = vocabulary()
     for _, words, counts in _split(batches):
-        *_, hashes, anchor = _windows(vocabulary, words, counts, size)
+        *_, hashes, anchor = _windows(known, words, counts, size)
         # an anchor is counted once per place, however many windows share it
         _, first = np.unique(anchor, return_index=True)
         yield hashes[first]
@@ -87,9 +87,9 @@ def _runs(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 def _candidates(size: int, bits: int, sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First places of windows estimated to repeat, and runs already known to start elsewhere earlier."""
-    vocabulary, seen = Vocabulary(), plane(sent, bits)
+    known, seen = vocabulary(), plane(sent, bits)
     for ids, words, counts in _split(batches):
-        at, h1, h2, hashes, _ = _windows(vocabulary, words, counts, size)
+        at, h1, h2, hashes, _ = _windows(known, words, counts, size)
         hit = twice(seen, hashes, bits)
         at, h1, h2 = at[hit], h1[hit], h2[hit]
         if not len(at):

@@ -6,8 +6,11 @@ are handled as UTF-8, where no byte of a longer character is one of these.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +66,26 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_HELD: dict[str, Any] = {}
+
+
+def held(name: str, make: Callable[[], Any] = lambda: None) -> Any:
+    """A worker's one large cache. Workers outlive tasks and operators; a task of another operator frees what the last one held."""
+    if name not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass  # another C library; it keeps freed memory for later use
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def vocabulary() -> "Vocabulary":
+    return held("vocabulary", Vocabulary)
+
+
 class Vocabulary(dict):
     """word -> number, with two independent 64-bit hashes by number."""
 
