@@ -119,11 +119,12 @@ def _candidates(size: int, bits: int, sent: Broadcast, batches: Iterator[pa.Reco
 def _kept(size: int, digest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out = []
-        for doc_id, text, gone in zip(b["doc_id"].to_pylist(), utf8(b["text"]), b["gone"]):
+        for doc_id, text, single, runs in zip(b["doc_id"].to_pylist(), utf8(b["text"]), b["single"], b["runs"]):
             words = text.as_py().split()
             left = words
-            if gone.is_valid and len(gone.values):
-                lo, hi = (gone.values.field(i).to_numpy() for i in (0, 1))
+            if single.is_valid and len(single.values) + len(runs.values):
+                at = single.values.to_numpy()
+                lo, hi = (np.concatenate((x, runs.values.field(i).to_numpy())) for i, x in enumerate((at, at + 1)))
                 edge = np.bincount(lo, minlength=len(words) + 1) - np.bincount(hi + size - 1, minlength=len(words) + 1)
                 stay = np.cumsum(edge)[: len(words)] == 0
                 left = [w for w, s in zip(words, stay.tolist()) if s]
@@ -159,8 +160,11 @@ def without_repeats(docs: DataFrame, size: int = SIZE, sketch_bits: int = SKETCH
     columns are ignored; an empty table gives an empty result.
     """
     cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # a document's list is bounded by its length
-    gone = removed_starts(docs, size, sketch_bits).groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("lo", "hi")).alias("gone"))
-    joined = cols.join(gone, F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("of"), "left").select("doc_id", "text", "gone")
+    # a document's lists are bounded by its length; most runs have one place, which is a number and no struct
+    alone = F.col("hi") == F.col("lo") + 1
+    gone = removed_starts(docs, size, sketch_bits).groupBy(F.col("doc_id").alias("of")).agg(
+        F.collect_list(F.when(alone, F.col("lo"))).alias("single"), F.collect_list(F.when(~alone, F.struct("lo", "hi"))).alias("runs")
+    )
+    joined = cols.join(gone, F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("of"), "left").select("doc_id", "text", "single", "runs")
     out = joined.mapInArrow(lambda batches: _kept(size, digest, batches), "doc_id long, n_words long, n_removed long, kept string")
     return out.withColumnRenamed("kept", "kept_sha256" if digest else "kept_text")
