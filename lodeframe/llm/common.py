@@ -15,6 +15,8 @@ ASCII_SPACE = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 BROADCAST_IDS = 2_000_000
 #: Largest Arrow batch handed to a Python worker.
 BATCH_BYTES = 4 << 20
+#: Name of the row key; together with doc_id it tells all rows apart.
+ROW = "__row"
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
@@ -56,6 +58,37 @@ def _few(ids: DataFrame) -> bool:
     return ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
 
 
+def _repeated_ids(docs: DataFrame) -> DataFrame:
+    """Values of doc_id, null included, that don't name one row."""
+    return cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 OR doc_id IS NULL").select("doc_id"))
+
+
+def _in_order(docs: DataFrame) -> DataFrame:
+    """Rows by doc_id, null last, then by text, with a rising number; materialised, so that all scans see the same numbers."""
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    return cut(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    """docs with ROW: 0 where a doc_id names one row, else a number above 0; null ids have larger ones than all others.
+
+    Only rows that need a number are written to the checkpoint folder.
+    """
+    shared = _repeated_ids(docs)
+    if shared.isEmpty():
+        return docs.withColumn(ROW, F.lit(0).cast("long"))
+    alone = select_ids(docs, shared, how="left_anti").withColumn(ROW, F.lit(0).cast("long"))
+    numbered = _in_order(select_ids(docs, shared))
+    return alone.unionByName(numbered.withColumn(ROW, F.col(ROW) + F.when(F.col("doc_id").isNull(), F.lit(2**62)).otherwise(F.lit(1))))
+
+
+def with_own_ids(docs: DataFrame) -> DataFrame:
+    """docs with ROW, one number per row in the order of doc_id, null last: doc_id itself where it names all rows."""
+    if _repeated_ids(docs).isEmpty():
+        return docs.withColumn(ROW, F.col("doc_id").cast("long"))
+    return _in_order(docs)
+
+
 def select_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "left_semi") -> DataFrame:
     """Rows of df whose key is (left_semi) or is not (left_anti) in ids; null equals null.
 

@@ -1,7 +1,8 @@
 """Substring dedup over windows of words, with a count-min prefilter.
 
 A window is `size` consecutive words. A word goes when a window that covers it also starts earlier,
-in a document with a smaller id or before it in the same one.
+in a document with a smaller id or before it in the same one. Documents are rows: a row key stands beside
+doc_id wherever several rows share one or have none.
 
 Pass 1 counts windows in a sketch. What stands for a window there is its anchor, the block of
 size / 2 words inside it with the least hash: equal windows have equal anchors at equal distances,
@@ -23,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeframe.llm.common import bounded_batches
+from lodeframe.llm.common import ROW, bounded_batches, with_rows
 from lodeframe.llm.sketch import plane, repeated, twice
 from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, utf8, vocabulary, windows
 
@@ -58,7 +59,7 @@ def _windows(known: Vocabulary, words: list[bytes], counts: np.ndarray, size: in
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes], np.ndarray]]:
     for b in batches:
-        for ids, texts in chunks(b["doc_id"].to_pylist(), b["text"]):
+        for ids, texts in chunks(list(zip(b["doc_id"].to_pylist(), b[ROW].to_pylist())), b["text"]):
             split = [t.split() for t in texts]
             yield ids, [w for ws in split for w in ws], np.array([len(w) for w in split], np.int64)
 
@@ -73,16 +74,16 @@ def _anchors(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarra
 
 
 #: A first place of a window under its hashes; or, with place -1, a run lo..hi-1 packed into h1. These rows are the bulk of the shuffle.
-SCHEMA = "h1 long, h2 long, doc_id long, place int"
+SCHEMA = f"h1 long, h2 long, doc_id long, {ROW} long, place int"
 
 
-def _runs(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, place) pairs as runs of neighbouring places."""
-    order = np.lexsort((at, doc))
-    doc, at = doc[order], at[order]
-    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (at[1:] > at[:-1] + 1)))) if len(at) else np.zeros(0, np.int64)
+def _runs(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place) pairs as runs of neighbouring places."""
+    order = np.lexsort((at, text))
+    text, at = text[order], at[order]
+    new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (at[1:] > at[:-1] + 1)))) if len(at) else np.zeros(0, np.int64)
     last = np.concatenate((new[1:] - 1, [len(at) - 1])) if len(at) else new
-    return doc[new], at[new], at[last] + 1
+    return text[new], at[new], at[last] + 1
 
 
 def _candidates(size: int, bits: int, sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,24 +96,30 @@ def _candidates(size: int, bits: int, sent: Broadcast, batches: Iterator[pa.Reco
         if not len(at):
             continue
         text, place, _ = places(counts)
-        doc, place = np.array([LAST_ID if i is None else i for i in ids], np.int64)[text[at]], place[at]
-        order = np.lexsort((place, doc, h2, h1))
-        h1, h2, doc, place = h1[order], h2[order], doc[order], place[order]
+        doc, row = np.array([(LAST_ID if i is None else i, r) for i, r in ids], np.int64).T
+        # texts of the chunk by their rank
+        by = np.lexsort((row, doc))
+        doc, row = doc[by], row[by]
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        text, place = rank[text[at]], place[at]
+        order = np.lexsort((place, text, h2, h1))
+        h1, h2, text, place = h1[order], h2[order], text[order], place[order]
         new = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        later = ~new & ((doc != doc[first]) | (place != place[first]))
-        rd, lo, hi = _runs(doc[later], place[later])
+        later = ~new
+        rt, lo, hi = _runs(text[later], place[later])
         # in the order of the texts: neighbouring rows then differ little and compress well
         new = np.flatnonzero(new)
-        new = new[np.lexsort((place[new], doc[new]))]
+        new = new[np.lexsort((place[new], text[new]))]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate((signed(h1[new]), lo << 32 | hi))),
-                pa.array(np.concatenate((signed(h2[new]), np.zeros(len(rd), np.int64)))),
-                pa.array(np.concatenate((doc[new], rd))),
-                pa.array(np.concatenate((place[new], np.full(len(rd), -1))).astype(np.int32)),
+                pa.array(np.concatenate((signed(h2[new]), np.zeros(len(rt), np.int64)))),
+                pa.array(doc[np.concatenate((text[new], rt))]),
+                pa.array(row[np.concatenate((text[new], rt))]),
+                pa.array(np.concatenate((place[new], np.full(len(rt), -1))).astype(np.int32)),
             ],
-            ["h1", "h2", "doc_id", "place"],
+            ["h1", "h2", "doc_id", ROW, "place"],
         )
 
 
@@ -136,16 +143,19 @@ def _kept(size: int, digest: bool, batches: Iterator[pa.RecordBatch]) -> Iterato
 
 
 def removed_starts(docs: DataFrame, size: int = SIZE, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """doc_id, lo, hi: runs of places lo..hi-1 at which a window starts that also starts earlier."""
+    """doc_id, ROW, lo, hi: runs of places lo..hi-1 at which a window starts that also starts earlier.
+
+    docs: doc_id, text and ROW; a null doc_id is given as LAST_ID.
+    """
     bounded_batches(docs.sparkSession)
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    cols = docs.select("doc_id", ROW, "text")
     sent = repeated(cols, lambda batches: _anchors(size, batches), sketch_bits)
     found = cols.mapInArrow(lambda batches: _candidates(size, sketch_bits, sent, batches), SCHEMA)
     run = F.col("place") < 0
-    first = F.min(F.when(~run, F.struct("doc_id", "place"))).over(Window.partitionBy("h1", "h2"))
-    later = found.withColumn("first", first).filter(run | (F.col("first") != F.struct("doc_id", "place")))
+    first = F.min(F.when(~run, F.struct("doc_id", ROW, "place"))).over(Window.partitionBy("h1", "h2"))
+    later = found.withColumn("first", first).filter(run | (F.col("first") != F.struct("doc_id", ROW, "place")))
     return later.select(
-        "doc_id", F.when(run, F.shiftright("h1", 32)).otherwise(F.col("place")).cast("int").alias("lo"),
+        "doc_id", ROW, F.when(run, F.shiftright("h1", 32)).otherwise(F.col("place")).cast("int").alias("lo"),
         F.when(run, F.col("h1").bitwiseAND(F.lit(2**32 - 1))).otherwise(F.col("place") + 1).cast("int").alias("hi"),
     )
 
@@ -155,16 +165,16 @@ def without_repeats(docs: DataFrame, size: int = SIZE, sketch_bits: int = SKETCH
 
     The last column is kept_text, or with digest its SHA-256 as kept_sha256. Words are
     [^\\x20\\x09-\\x0D]+; null text has none. Texts shorter than a window lose nothing. Windows are judged
-    on the input. Rows repeating a doc_id count as one document: the same place in each is no repeat
-    of the other, and all of them lose the same places. A null doc_id sorts after all others. Other
-    columns are ignored; an empty table gives an empty result.
+    on the input. Every row is a document of its own: of rows that share a doc_id, in an order by their
+    text, later ones repeat earlier ones. A null doc_id sorts after all others. Other columns are
+    ignored; an empty table gives an empty result.
     """
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    cols = with_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     # a document's lists are bounded by its length; most runs have one place, which is a number and no struct
     alone = F.col("hi") == F.col("lo") + 1
-    gone = removed_starts(docs, size, sketch_bits).groupBy(F.col("doc_id").alias("of")).agg(
+    gone = removed_starts(cols, size, sketch_bits).groupBy(F.col("doc_id").alias("of"), F.col(ROW).alias("of_row")).agg(
         F.collect_list(F.when(alone, F.col("lo"))).alias("single"), F.collect_list(F.when(~alone, F.struct("lo", "hi"))).alias("runs")
     )
-    joined = cols.join(gone, F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("of"), "left").select("doc_id", "text", "single", "runs")
+    joined = cols.join(gone, (F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("of")) & (F.col(ROW) == F.col("of_row")), "left").select("doc_id", "text", "single", "runs")
     out = joined.mapInArrow(lambda batches: _kept(size, digest, batches), "doc_id long, n_words long, n_removed long, kept string")
     return out.withColumnRenamed("kept", "kept_sha256" if digest else "kept_text")

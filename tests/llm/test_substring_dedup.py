@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -31,6 +32,26 @@ def test_against_model(spark):
         assert result(without_repeats(docs(spark, rows), size, bits)) == model(rows, size), (seed, size, bits)
 
 
+def test_rows_without_an_id_of_their_own(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(12)) for x in "abc")
+    tables = [
+        # a run past the end of the other row with the same id; words at its places there; the same place in both
+        [(1, f"{a} {b}"), (None, f"{c} z1 z2 z3 z4 z5 {a} {c} {a}"), (None, "u v w x y z")],
+        [(1, b), (2, f"{a} {b}"), (2, c + " q" + a)],
+        [(None, a), (None, a), (None, f"{b} {b}"), (2**63 - 1, f"{b} x")],
+        [(7, f"{a} {b}"), (7, f"{a} {c}"), (7, f"{a} {b}"), (3, c)],
+    ]
+    for rows in tables:
+        found = without_repeats(docs(spark, rows), 5, 16).collect()
+        got = sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_text"]) for r in found)
+        allowed = []
+        for order in itertools.permutations(rows):
+            if list(order) == sorted(order, key=lambda r: (r[0] is None, r[0] or 0)):
+                want = model(list(enumerate(t for _, t in order)), 5)
+                allowed.append(sorted((str(i), *want[k]) for k, (i, _) in enumerate(order)))
+        assert got in allowed, rows
+
+
 def test_periodic_text(spark):
     rows = [(1, "a b c " * 30), (2, "a b c " * 10), (3, "x " * 25)]
     assert result(without_repeats(docs(spark, rows), 20, 16)) == model(rows, 20)
