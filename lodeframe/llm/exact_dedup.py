@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeframe.llm.common import cut, select_ids, strip_space
+from lodeframe.llm.common import ROW, cut, select_ids, strip_space, with_own_ids
 
 #: Rows of one group that one task compares with the row that stays.
 SALT_ROWS = 20_000
@@ -126,6 +126,8 @@ def _regrouped(docs: DataFrame, entries: DataFrame, index: DataFrame, wrong: Dat
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """Rows of docs without exact copies, all columns kept."""
-    dropped = cut(exact_dedup(docs, **options).filter("NOT kept").select("doc_id"))
-    return select_ids(docs, dropped, how="left_anti")
+    """Rows of docs without exact copies, all columns kept: one row of each group, even where rows share a doc_id."""
+    own = with_own_ids(docs)
+    verdicts = exact_dedup(own.select(F.col(ROW).alias("doc_id"), "text"), **options)
+    dropped = cut(verdicts.filter("NOT kept").select(F.col("doc_id").alias(ROW)))
+    return select_ids(own, dropped, key=ROW, how="left_anti").drop(ROW)

@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeframe.llm.common import bounded_batches, cut, select_ids
+from lodeframe.llm.common import ROW, bounded_batches, cut, select_ids, with_own_ids
 from lodeframe.llm.sketch import cells_of, class_table, frequency_classes, plane, repeated, twice
 from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, vocabulary, windows
 from lodeframe.operators.components import connected_components
@@ -221,6 +221,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """Rows of docs with the smallest doc_id of their class, all columns kept."""
-    dropped = cut(near_duplicates(docs, **options).filter("component_id != doc_id").select("doc_id"))
-    return select_ids(docs, dropped, how="left_anti")
+    """The row with the smallest doc_id (null last) of each class, all columns kept; rows that share a doc_id each count."""
+    own = with_own_ids(docs)
+    verdicts = near_duplicates(own.select(F.col(ROW).alias("doc_id"), "text"), **options)
+    dropped = cut(verdicts.filter("component_id != doc_id").select(F.col("doc_id").alias(ROW)))
+    return select_ids(own, dropped, key=ROW, how="left_anti").drop(ROW)

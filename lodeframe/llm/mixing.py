@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeframe.llm.common import bounded_batches, cut
+from lodeframe.llm.common import ROW, bounded_batches, cut, with_rows
 from lodeframe.llm.textkit import held, utf8, word_counts
 
 RANGES = 1024
@@ -24,14 +24,14 @@ SEED = "mix-1:"
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held("none")
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b["doc_id"], b["source"], pa.array(word_counts(b["text"]), pa.int64())], ["doc_id", "source", "size"])
+        yield pa.RecordBatch.from_arrays([b["doc_id"], b[ROW], b["source"], pa.array(word_counts(b["text"]), pa.int64())], ["doc_id", ROW, "source", "size"])
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size: the number of words, 0 for null text."""
+    """doc_id, ROW, source, size: the number of words, 0 for null text."""
     bounded_batches(docs.sparkSession)
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
-    return cols.mapInArrow(_sized, "doc_id long, source string, size long")
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), ROW, F.col("source").cast("string").alias("source"), "text")
+    return cols.mapInArrow(_sized, f"doc_id long, {ROW} long, source string, size long")
 
 
 def source_targets(per_source: DataFrame, cycle: int = 3, cap: int = 3) -> DataFrame:
@@ -71,6 +71,11 @@ def mix(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
     Rows repeating a doc_id each count; equal ones are alike, so their order has no effect. Rows
     without words take 0. An empty table gives an empty mix; other columns are ignored.
     """
+    return _mix(docs.withColumn(ROW, F.lit(0).cast("long")), ranges).drop(ROW)
+
+
+def _mix(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """mix() of docs with ROW, which stays beside doc_id."""
     sized = cut(sizes(docs).withColumn("key", _key(F.col("doc_id"))).withColumn("range", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * ranges / F.lit(2**32)))
     sized = sized.withColumn("range", F.floor("range").cast("int"))
     slices = cut(sized.groupBy("source", "range").agg(F.sum("size").alias("slice")))
@@ -80,14 +85,14 @@ def mix(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
     slices = slices.join(F.broadcast(targets.alias("t")), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
         F.col("s.source").alias("of"), F.col("range").alias("in_range"), "ahead", "source_size", "target"
     )
-    inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size", ROW).rowsBetween(Window.unboundedPreceding, -1)
     rows = sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(slices, (F.col("range") == F.col("in_range")) & F.col("source").eqNullSafe(F.col("of")))
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - epochs * F.col("source_size")
     last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("ahead") - F.col("inside")))
-    return rows.select("doc_id", "size", "source_size", "target", (epochs * F.col("size") + last).cast("long").alias("taken"))
+    return rows.select("doc_id", ROW, "size", "source_size", "target", (epochs * F.col("size") + last).cast("long").alias("taken"))
 
 
 def _first_words(text: bytes, n: int) -> bytes:
@@ -120,10 +125,9 @@ def mixed_docs(docs: DataFrame, **options) -> DataFrame:
     such a column). Rows not taken, and rows without words, are left out.
     """
     bounded_batches(docs.sparkSession)
-    taken = mix(docs, **options).filter("taken > 0").select(
-        F.col("doc_id").alias("__id"), F.floor(F.col("taken") / F.col("size")).alias("__whole"), (F.col("taken") % F.col("size")).alias("__rest")
+    own = with_rows(docs)
+    taken = _mix(own, **options).filter("taken > 0").select(
+        F.col("doc_id").alias("__id"), F.col(ROW).alias("__of"), F.floor(F.col("taken") / F.col("size")).alias("__whole"), (F.col("taken") % F.col("size")).alias("__rest")
     )
-    # a doc_id that occurs in several rows has one verdict; its rows are alike for the mix
-    taken = taken.groupBy("__id").agg(F.max(F.struct("__whole", "__rest")).alias("t")).select("__id", "t.*")
-    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["__id"])).drop("__id")
+    rows = own.join(taken, own["doc_id"].eqNullSafe(taken["__id"]) & (own[ROW] == taken["__of"])).drop("__id", "__of", ROW)
     return rows.mapInArrow(_copies, docs.schema)

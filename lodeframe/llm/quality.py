@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeframe.llm.common import bounded_batches, cut, select_ids
+from lodeframe.llm.common import bounded_batches
 from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, vocabulary, windows
 
 LEVEL, CHUNK = 3, 4096
@@ -112,7 +112,13 @@ def quality(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_judged, SCHEMA)
 
 
+def _good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if len(b):
+            yield b.filter(pa.concat_arrays([judged["kept"] for judged in _judged(iter([b]))]))
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
-    """Rows of docs that quality() keeps, all columns kept. Rows with one doc_id go if any of them is rejected."""
-    rejected = cut(quality(docs).filter("NOT kept").select("doc_id"))
-    return select_ids(docs, rejected, how="left_anti")
+    """Rows of docs that quality() keeps, all columns kept; each row is judged by itself, whatever its doc_id."""
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(_good, docs.schema)

@@ -39,6 +39,27 @@ def test_stages_keep_columns(spark, stage):
     assert stage(docs(spark, [])).count() == 0
 
 
+def test_stages_go_by_row(spark):
+    import random
+
+    r = random.Random(3)
+    texts = [" ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 8))) for _ in range(70)) for _ in range(5)]
+    for i in (None, 7):
+        good = docs(spark, [(i, texts[0]), (i, "too short"), (i, texts[1]), (9, texts[2])])
+        assert sorted(x["text"] for x in keep_good(good).collect()) == sorted(texts[:3])
+        copies = docs(spark, [(i, texts[0]), (i, texts[0]), (i, texts[1]), (i, texts[2]), (1, texts[2])])
+        for stage in (keep_one, lambda d: keep_first(d, **BITS)):
+            got = stage(copies).collect()
+            assert sorted(x["text"] for x in got) == sorted(texts[:3])
+            assert {x["doc_id"] for x in got if x["text"] == texts[2]} == {1}
+        rows = [(i, texts[k] if k < 3 else "a b c d e " * k, "ab"[k % 2]) for k in range(5)]
+        want = {x["source"]: round(x["target"]) for x in mix(docs(spark, rows)).select("target", "source_size").distinct().join(docs(spark, rows).groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))).alias("source_size")), "source_size").collect()}
+        got = {}
+        for x in mixed_docs(docs(spark, rows)).collect():
+            got[x["source"]] = got.get(x["source"], 0) + len(x["text"].split())
+        assert got == want
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(None, None, None, 1), (1, "http://a.com/x", "", 1), (1, "http://a.com/x", "", 1)], "page_id long, url string, html string, `row` int")
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in extract_text(pages).collect()) == [(0, "", 0), (1, "", 0), (1, "", 0)]
