@@ -28,45 +28,47 @@ from lodeframe.llm.textkit import chunks
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
 _V = r"(?:,? ?(?:version|v\.?|ver\.?)?[ -]?"
-#: label, keywords (one must be in the text), name as a regular expression on lower-cased text.
+#: Abbreviations that end many words count as keywords only before what may follow them in a name.
+_BEFORE_GAP = {k: tuple(k + c for c in " \t\n\r\x0b\x0c*#/-" + more) for k, more in (("cc", ""), ("mpl", ",v12"), ("epl", ",v12"))}
+#: label, keywords (one must be in the text; no gap inside them, since it may be any white space or comment mark), name as a regular expression on lower-cased text.
 FAMILIES = (
     ("agpl-3.0", ("affero", "agpl"), r"(?:gnu )?(?:affero general public licen[sc]e|agpl)" + _V + r"3(?:\.0)?)"),
-    ("lgpl-2.1", ("lesser general", "library general", "lgpl"), r"(?:gnu )?(?:(?:lesser|library) general public licen[sc]e|lgpl)" + _V + r"2(?:\.[01])?)"),
-    ("lgpl-3.0", ("lesser general", "lgpl"), r"(?:gnu )?(?:lesser general public licen[sc]e|lgpl)" + _V + r"3(?:\.0)?)"),
-    ("gpl-1.0", ("general public", "gpl"), r"(?:gnu )?(?:general public licen[sc]e|gpl)" + _V + r"1(?:\.0)?)(?!\d)"),
-    ("gpl-2.0", ("general public", "gpl"), r"(?:gnu )?(?:general public licen[sc]e|gpl)" + _V + r"2(?:\.0)?)(?!\d)"),
-    ("gpl-3.0", ("general public", "gpl"), r"(?:gnu )?(?:general public licen[sc]e|gpl)" + _V + r"3(?:\.0)?)(?!\d)"),
-    ("gfdl", ("free documentation",), r"(?:gnu )?free documentation licen[sc]e(?:,? version 1\.[0-3])?"),
+    ("lgpl-2.1", ("lesser", "library", "lgpl"), r"(?:gnu )?(?:(?:lesser|library) general public licen[sc]e|lgpl)" + _V + r"2(?:\.[01])?)"),
+    ("lgpl-3.0", ("lesser", "lgpl"), r"(?:gnu )?(?:lesser general public licen[sc]e|lgpl)" + _V + r"3(?:\.0)?)"),
+    ("gpl-1.0", ("general", "gpl"), r"(?:gnu )?(?:general public licen[sc]e|gpl)" + _V + r"1(?:\.0)?)(?!\d)"),
+    ("gpl-2.0", ("general", "gpl"), r"(?:gnu )?(?:general public licen[sc]e|gpl)" + _V + r"2(?:\.0)?)(?!\d)"),
+    ("gpl-3.0", ("general", "gpl"), r"(?:gnu )?(?:general public licen[sc]e|gpl)" + _V + r"3(?:\.0)?)(?!\d)"),
+    ("gfdl", ("documentation",), r"(?:gnu )?free documentation licen[sc]e(?:,? version 1\.[0-3])?"),
     ("apache-1.1", ("apache",), r"apache (?:software )?licen[sc]e" + _V + r"1\.[01])"),
     ("apache-2.0", ("apache",), r"(?:apache (?:software )?licen[sc]e" + _V + r"2(?:\.0)?)|apache-2\.0)"),
-    ("mit", ("mit license", "mit licence", "mit-license", "expat"), r"(?:mit|expat)[ -]licen[sc]e"),
+    ("mit", ("license", "licence"), r"(?:mit|expat)[ -]licen[sc]e"),
     ("bsd-2-clause", ("bsd",), r"(?:(?:simplified|2-clause|two-clause|freebsd)(?: freebsd)? bsd|bsd[ -](?:2-clause|two-clause))(?: licen[sc]e)?"),
     ("bsd-3-clause", ("bsd",), r"(?:(?:new|modified|revised|3-clause|three-clause) bsd|bsd[ -](?:3-clause|three-clause))(?: licen[sc]e)?"),
     ("bsd-4-clause", ("bsd",), r"(?:(?:original|4-clause|four-clause) bsd|bsd[ -]4-clause)(?: licen[sc]e)?"),
-    ("isc", ("isc license", "isc licence"), r"isc licen[sc]e"),
+    ("isc", ("isc",), r"isc licen[sc]e"),
     ("zlib", ("zlib",), r"zlib(?:/libpng)? licen[sc]e"),
-    ("mpl-1.1", ("mozilla public", "mpl-", "mpl ", "mplv"), r"(?:mozilla public licen[sc]e|mpl)" + _V + r"1\.[01])"),
-    ("mpl-2.0", ("mozilla public", "mpl-", "mpl ", "mplv"), r"(?:mozilla public licen[sc]e|mpl)" + _V + r"2(?:\.0)?)"),
-    ("epl-1.0", ("eclipse public", "epl-", "epl ", "eplv"), r"(?:eclipse public licen[sc]e|epl)" + _V + r"1(?:\.0)?)"),
-    ("epl-2.0", ("eclipse public", "epl-", "epl ", "eplv"), r"(?:eclipse public licen[sc]e|epl)" + _V + r"2(?:\.0)?)"),
-    ("cddl", ("common development and distribution", "cddl"), r"(?:common development and distribution licen[sc]e|cddl)(?:,? (?:version )?1\.[01])?"),
-    ("eupl", ("european union public", "eupl"), r"(?:european union public licen[sc]e|eupl)(?:,? ?v?(?:ersion )?1\.[0-2])?"),
-    ("artistic", ("artistic license", "artistic licence"), r"artistic licen[sc]e(?:,? (?:version )?[12]\.0)?"),
-    ("bsl-1.0", ("boost software",), r"boost software licen[sc]e(?:,? (?:version )?1\.0)?"),
-    ("ofl-1.1", ("open font",), r"(?:sil )?open font licen[sc]e(?:,? (?:version )?1\.[01])?"),
-    ("odbl", ("open database", "odbl"), r"(?:open database licen[sc]e|odbl)(?:,? ?v?1\.0)?"),
+    ("mpl-1.1", ("mozilla", *_BEFORE_GAP["mpl"]), r"(?:mozilla public licen[sc]e|mpl)" + _V + r"1\.[01])"),
+    ("mpl-2.0", ("mozilla", *_BEFORE_GAP["mpl"]), r"(?:mozilla public licen[sc]e|mpl)" + _V + r"2(?:\.0)?)"),
+    ("epl-1.0", ("eclipse", *_BEFORE_GAP["epl"]), r"(?:eclipse public licen[sc]e|epl)" + _V + r"1(?:\.0)?)"),
+    ("epl-2.0", ("eclipse", *_BEFORE_GAP["epl"]), r"(?:eclipse public licen[sc]e|epl)" + _V + r"2(?:\.0)?)"),
+    ("cddl", ("development", "cddl"), r"(?:common development and distribution licen[sc]e|cddl)(?:,? (?:version )?1\.[01])?"),
+    ("eupl", ("european", "eupl"), r"(?:european union public licen[sc]e|eupl)(?:,? ?v?(?:ersion )?1\.[0-2])?"),
+    ("artistic", ("artistic",), r"artistic licen[sc]e(?:,? (?:version )?[12]\.0)?"),
+    ("bsl-1.0", ("boost",), r"boost software licen[sc]e(?:,? (?:version )?1\.0)?"),
+    ("ofl-1.1", ("font",), r"(?:sil )?open font licen[sc]e(?:,? (?:version )?1\.[01])?"),
+    ("odbl", ("database", "odbl"), r"(?:open database licen[sc]e|odbl)(?:,? ?v?1\.0)?"),
     ("unlicense", ("unlicense",), r"(?:the )?unlicense"),
-    ("wtfpl", ("wtfpl", "what the fuck"), r"(?:wtfpl|do what the fuck you want to public licen[sc]e)"),
-    ("postgresql", ("postgresql license", "postgresql licence"), r"postgresql licen[sc]e"),
-    ("python", ("python software foundation",), r"python software foundation licen[sc]e"),
-    ("openssl", ("openssl license", "openssl licence"), r"openssl licen[sc]e"),
-    ("cc0", ("cc0", "creative commons zero"), r"(?:cc0(?: ?1\.0)?|creative commons zero)"),
-    ("cc-by", ("cc by", "cc-by", "cc\tby", "cc\nby", "creative commons"), r"(?:cc[ -]by|creative commons attribution)(?![ -](?:nc|nd|sa|non|no-|share))(?:[ -][1-4]\.[05])?"),
-    ("cc-by-sa", ("cc by", "cc-by", "cc\tby", "cc\nby", "creative commons"), r"(?:cc[ -]by[ -]sa|creative commons attribution[ -]share-?alike)(?:[ -][1-4]\.[05])?"),
-    ("cc-by-nd", ("cc by", "cc-by", "cc\tby", "cc\nby", "creative commons"), r"(?:cc[ -]by[ -]nd|creative commons attribution[ -]no-?deriv(?:s|atives))(?:[ -][1-4]\.[05])?"),
-    ("cc-by-nc", ("cc by", "cc-by", "cc\tby", "cc\nby", "creative commons"), r"(?:cc[ -]by[ -]nc|creative commons attribution[ -]non-?commercial)(?![ -](?:nd|sa|no-|share))(?:[ -][1-4]\.[05])?"),
-    ("cc-by-nc-sa", ("cc by", "cc-by", "cc\tby", "cc\nby", "creative commons"), r"(?:cc[ -]by[ -]nc[ -]sa|creative commons attribution[ -]non-?commercial[ -]share-?alike)(?:[ -][1-4]\.[05])?"),
-    ("cc-by-nc-nd", ("cc by", "cc-by", "cc\tby", "cc\nby", "creative commons"), r"(?:cc[ -]by[ -]nc[ -]nd|creative commons attribution[ -]non-?commercial[ -]no-?deriv(?:s|atives))(?:[ -][1-4]\.[05])?"),
+    ("wtfpl", ("wtfpl", "fuck"), r"(?:wtfpl|do what the fuck you want to public licen[sc]e)"),
+    ("postgresql", ("postgresql",), r"postgresql licen[sc]e"),
+    ("python", ("python",), r"python software foundation licen[sc]e"),
+    ("openssl", ("openssl",), r"openssl licen[sc]e"),
+    ("cc0", ("cc0", "commons"), r"(?:cc0(?: ?1\.0)?|creative commons zero)"),
+    ("cc-by", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by|creative commons attribution)(?![ -](?:nc|nd|sa|non|no-|share))(?:[ -][1-4]\.[05])?"),
+    ("cc-by-sa", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]sa|creative commons attribution[ -]share-?alike)(?:[ -][1-4]\.[05])?"),
+    ("cc-by-nd", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]nd|creative commons attribution[ -]no-?deriv(?:s|atives))(?:[ -][1-4]\.[05])?"),
+    ("cc-by-nc", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]nc|creative commons attribution[ -]non-?commercial)(?![ -](?:nd|sa|no-|share))(?:[ -][1-4]\.[05])?"),
+    ("cc-by-nc-sa", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]nc[ -]sa|creative commons attribution[ -]non-?commercial[ -]share-?alike)(?:[ -][1-4]\.[05])?"),
+    ("cc-by-nc-nd", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]nc[ -]nd|creative commons attribution[ -]non-?commercial[ -]no-?deriv(?:s|atives))(?:[ -][1-4]\.[05])?"),
 )
 #: priority, form: how a name is put to use; {n} is the name.
 FORMS = (
@@ -80,16 +82,16 @@ FORMS = (
     (50, r"{n} (?:or|and) (?:\(?at your option\)?,? )?(?:any )?later"),
     (30, r"{n}"),
 )
-#: Signatures of their own: priority, label, keyword, expression.
+#: Signatures of their own: priority, label, keywords, expression.
 SINGLES = (
-    (85, "mit", "permission is hereby granted", r"permission is hereby granted,? free of charge,? to any person obtaining a copy"),
-    (85, "isc", "permission to use, copy", r"permission to use, copy, modify,? and(?:/or)? distribute this software for any purpose"),
-    (85, "bsd", "redistribution and use", r"redistribution and use in source and binary forms,? with or without modification"),
-    (85, "gpl", "free software foundation", r"free software: you can redistribute it and/or modify"),
-    (40, "reserved", "all rights reserved", r"all rights reserved"),
-    (20, "gpl", "general public", r"general public licen[sc]e"),
-    (15, "copyright", "copyright", r"(?:copyright|\(c\)|©) (?:\(c\) )?(?:19|20)\d\d"),
-    (15, "public-domain", "public domain", r"(?:in|to|into) the public domain"),
+    (85, "mit", ("hereby",), r"permission is hereby granted,? free of charge,? to any person obtaining a copy"),
+    (85, "isc", ("permission",), r"permission to use, copy, modify,? and(?:/or)? distribute this software for any purpose"),
+    (85, "bsd", ("redistribution",), r"redistribution and use in source and binary forms,? with or without modification"),
+    (85, "gpl", ("redistribute",), r"free software: you can redistribute it and/or modify"),
+    (40, "reserved", ("reserved",), r"all rights reserved"),
+    (20, "gpl", ("general",), r"general public licen[sc]e"),
+    (15, "copyright", ("copyright", "(c)", "©"), r"(?:copyright|\(c\)|©) (?:\(c\) )?(?:19|20)\d\d"),
+    (15, "public-domain", ("domain",), r"(?:in|to|into) the public domain"),
 )
 
 
@@ -106,15 +108,15 @@ GAP = r"[\s*#/]"
 
 
 def _compiled(expression: str) -> re.Pattern[bytes]:
-    # a blank stands for a gap; a match may not cut a word
-    body = re.sub(" [?]?", lambda m: GAP + ("*" if m.group()[1:] else "+"), expression.replace("[ -]", r"[\s-]"))
+    # a blank stands for a gap, taken whole, so long ones cost no retries; a match may not cut a word
+    body = re.sub(" [?]?", lambda m: GAP + ("*+" if m.group()[1:] else "++"), expression.replace("[ -]", f"(?:-|{GAP}++)"))
     return re.compile(rb"(?<![0-9a-z\x80-\xff])(?:" + body.encode() + rb")(?![0-9a-z\x80-\xff])")
 
 
 def build_rules() -> tuple[Rule, ...]:
     """All rules, highest priority first."""
     rules = [Rule(label, p, tuple(k.encode() for k in words), _compiled(form.replace("{n}", f"(?:{name})"))) for label, words, name in FAMILIES for p, form in FORMS]
-    rules += [Rule(label, p, (word.encode(),), _compiled(expression)) for p, label, word, expression in SINGLES]
+    rules += [Rule(label, p, tuple(k.encode() for k in words), _compiled(expression)) for p, label, words, expression in SINGLES]
     return tuple(sorted(rules, key=lambda r: -r.priority))
 
 
