@@ -609,7 +609,7 @@ def stat_29_variance_grid(spark, sf):
 @query()
 def stat_12_bootstrap(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("v"))
-    return accuracy.bootstrap(o, "v", resamples=20)
+    return accuracy.bootstrap(o, "v")
 
 
 @query(f"""{WITH_B.replace('RECURSIVE ', '')}, p AS (SELECT city AS ucid, source, sum(full_capacity_mw) AS mw FROM b WHERE city IS NOT NULL GROUP BY 1, 2), c AS (SELECT ucid, count(*) AS n, stddev_pop(CASE WHEN mw > 0 THEN mw END) / avg(CASE WHEN mw > 0 THEN mw END) * 100 AS cv FROM p GROUP BY 1)
