@@ -1,9 +1,10 @@
 """Quality rules by compression bands.
 
-Every whole text is compressed with zstandard, and so is each of its fixed chunks; the ratio of raw
-to compressed size must stay inside a band that depends on the length. Above it a text repeats
-itself, below it is noise (encoded data, random characters). Very short texts compress badly
-whatever they say, so their lower limit is lower and the shortest have none.
+Every whole text is compressed with zstandard, and so is each of its fixed chunks, the shorter last
+one too; the ratio of raw to compressed size must stay inside a band that depends on the length.
+Above it a text repeats itself, below it is noise (encoded data, random characters). Very short
+pieces compress badly whatever they say, so their lower limit is lower and the shortest have none.
+A text goes if the whole is outside its band, or if chunks outside theirs hold over a quarter of it.
 """
 
 from __future__ import annotations
@@ -22,13 +23,15 @@ from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, vocabu
 LEVEL, CHUNK = 3, 4096
 #: (bytes up to, least ratio, largest ratio): bands of whole texts by length.
 BANDS = ((200, 0.0, 4.0), (1_000, 1.1, 4.0), (4_000, 1.35, 4.5), (20_000, 1.45, 5.5), (float("inf"), 1.5, 7.0))
-#: Band of the median chunk; texts of one chunk are judged as a whole only.
-CHUNK_BAND = (1.45, 5.5)
+#: The same for chunks; texts of one chunk are judged as a whole only.
+CHUNK_BANDS = ((200, 0.0, 5.0), (1_000, 1.1, 5.0), (2_000, 1.3, 5.5), (CHUNK, 1.45, 5.5))
+#: Largest share of a text's bytes in chunks outside their band.
+BAD_SHARE = 0.25
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "base_failed boolean, kept boolean, ratio double, chunk_ratio double"
+    "base_failed boolean, kept boolean, ratio double, bad_share double"
 )
 
 
@@ -41,14 +44,23 @@ class Ratios:
     def whole(self, text: bytes) -> float:
         return len(text) / len(self._size(text)) if text else 0.0
 
-    def by_chunk(self, text: bytes) -> float:
-        """Median ratio over chunks of CHUNK bytes; a shorter last chunk is left to the whole's ratio."""
-        return float(np.median([CHUNK / len(self._size(text[i : i + CHUNK])) for i in range(0, len(text) - CHUNK + 1, CHUNK)]))
+    def bad_share(self, text: bytes) -> float | None:
+        """Share of the bytes that lie in chunks of CHUNK bytes (the last may be shorter) outside their band; null for one chunk."""
+        if len(text) <= CHUNK:
+            return None
+        chunks = [text[i : i + CHUNK] for i in range(0, len(text), CHUNK)]
+        return sum(len(c) for c in chunks if not in_band(len(c), len(c) / len(self._size(c)), CHUNK_BANDS)) / len(text)
 
 
-def in_band(n_bytes: int, ratio: float, chunk_ratio: float | None) -> bool:
-    low, high = next((low, high) for up_to, low, high in BANDS if n_bytes <= up_to)
-    return low <= ratio <= high and (chunk_ratio is None or CHUNK_BAND[0] <= chunk_ratio <= CHUNK_BAND[1])
+def in_band(n_bytes: int, ratio: float, bands: tuple = BANDS) -> bool:
+    low, high = next((low, high) for up_to, low, high in bands if n_bytes <= up_to)
+    return low <= ratio <= high
+
+
+def verdict(ratios: Ratios, text: bytes) -> tuple[bool, float, float | None]:
+    """(inside all bands, ratio of the whole, share of the bytes in chunks outside theirs)."""
+    ratio, bad = ratios.whole(text), ratios.bad_share(text)
+    return in_band(len(text), ratio) and (bad or 0.0) <= BAD_SHARE, ratio, bad
 
 
 def duplicate_lines(text: bytes) -> int:
@@ -91,10 +103,9 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
             for doc_id, t, ws, n, r in zip(ids, texts, split, counts.tolist(), repeat.tolist(), strict=True):
                 chars = len(t.translate(every, trailing + b" \t\n\x0b\x0c\r"))
-                ratio = ratios.whole(t)
-                by_chunk = ratios.by_chunk(t) if len(t) >= 2 * CHUNK else None
+                good, ratio, bad = verdict(ratios, t)
                 failed = n < MIN_WORDS or 100 * r > MAX_REPEAT_PERCENT * n
-                out.append((doc_id, n, chars, len(t.translate(every, rest)), duplicate_lines(t), r, failed, not failed and in_band(len(t), ratio, by_chunk), ratio, by_chunk))
+                out.append((doc_id, n, chars, len(t.translate(every, rest)), duplicate_lines(t), r, failed, not failed and good, ratio, bad))
             names = [x.split()[0] for x in SCHEMA.split(", ")]
             kinds = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 2
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True)], names)
@@ -104,9 +115,11 @@ def quality(docs: DataFrame) -> DataFrame:
     """One row per row of docs (doc_id, text), see SCHEMA; kept is the verdict.
 
     base_failed: fewer than 50 words, or over half of the words in repeated 3-word windows. kept is
-    false for these, else it says whether the compression ratios are inside their bands. Null text
-    counts as empty: no words, so not kept. Repeated rows are judged each by itself; other columns
-    are ignored; an empty table gives an empty result.
+    false for these, else it says whether the compression ratios are inside their bands. Null and
+    empty texts have no words, so they are not kept. A very long text is compressed chunk by chunk
+    besides as a whole, in memory of its own size. Every row is judged by itself, whatever its doc_id
+    and however often it is repeated; there are no ties. Other columns, also those named like a
+    result, are ignored; an empty table gives an empty result.
     """
     bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_judged, SCHEMA)
@@ -119,6 +132,10 @@ def _good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """Rows of docs that quality() keeps, all columns kept; each row is judged by itself, whatever its doc_id."""
+    """Rows of docs that quality() keeps, all columns kept; each row is judged by itself, whatever its doc_id.
+
+    Rows with a null, empty or blank text go; repeated rows stay or go together; very long texts are
+    judged whole; an empty table stays empty; columns may have any names.
+    """
     bounded_batches(docs.sparkSession)
     return docs.mapInArrow(_good, docs.schema)

@@ -55,7 +55,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(_documents(spark, sf_dir)).drop("ratio", "chunk_ratio")
+    return quality(_documents(spark, sf_dir)).drop("ratio", "bad_share")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
