@@ -31,9 +31,9 @@ def test_quality_counts(spark):
 def test_quality_bands():
     r = quality.Ratios()
     noise = np.random.default_rng(1).bytes(20_000).hex().encode()
-    assert not quality.in_band(30_000, r.whole(b"spam ham eggs " * 2000), None)
-    assert not quality.in_band(20_000, r.whole(np.random.default_rng(1).bytes(20_000)), None)
-    assert quality.in_band(40_000, r.whole(noise), r.by_chunk(noise))  # hex halves: compressible enough
+    assert not quality.in_band(30_000, r.whole(b"spam ham eggs " * 2000))
+    assert not quality.in_band(20_000, r.whole(np.random.default_rng(1).bytes(20_000)))
+    assert quality.verdict(r, noise)[0]  # hex halves: compressible enough
 
 
 def model_base(text):
@@ -193,3 +193,45 @@ def test_urls(spark):
         fit = [(len(h + p), len(h), h + p, a) for h, p, a in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
         best = max(fit, default=(0, 0, None, "allow"))
         assert got[i] == (host, path, best[2], best[3]), u
+
+
+def model_kept(text):
+    """The bands, worked out plainly."""
+    import zstandard
+
+    size = zstandard.ZstdCompressor(level=quality.LEVEL, write_content_size=False, write_checksum=False).compress
+
+    def inside(piece, bands):
+        low, high = next((a, b) for n, a, b in bands if len(piece) <= n)
+        return low <= len(piece) / len(size(piece)) <= high
+
+    if len(text) <= quality.CHUNK:
+        return inside(text, quality.BANDS)
+    bad = sum(len(c) for c in (text[i : i + quality.CHUNK] for i in range(0, len(text), quality.CHUNK)) if not inside(c, quality.CHUNK_BANDS))
+    return inside(text, quality.BANDS) and bad <= quality.BAD_SHARE * len(text)
+
+
+def test_quality_verdicts(spark):
+    import base64
+    import random
+
+    r = random.Random(9)
+    voc = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(2, 9))) for _ in range(900)]
+    prose = lambda n: " ".join(r.choice(voc) for _ in range(n))
+    noise = lambda n: " ".join(base64.b85encode(r.randbytes(30)).decode() for _ in range(n))
+    rows = [(i, prose(n)) for i, n in enumerate((60, 300, 900, 5000))] + [(10 + i, noise(n)) for i, n in enumerate((60, 300, 900))]
+    # half prose, half noise, in texts below two whole chunks; noise in the last chunk only; noise in a few chunks of many
+    rows += [(20, prose(4096)[:4096] + noise(105)[:3900]), (21, prose(4096)[:4096] + noise(105)[:600]), (22, prose(9000)[:40_960] + noise(200)[:4096]), (23, prose(1500) + " spam" * 4000)]
+    got = {x["doc_id"]: x for x in quality.quality(docs(spark, rows)).collect()}
+    for i, t in rows:
+        assert got[i]["kept"] == (not got[i]["base_failed"] and model_kept(t.encode())), i
+    kept = {i for i, x in got.items() if x["kept"]}
+    assert {0, 1, 2, 3, 21, 22} <= kept and not kept & {11, 12, 20, 23}
+
+
+def test_long_hosts(spark):
+    """A host of very many labels gives as many keys as rules have numbers of labels."""
+    rules = spark.createDataFrame([("a.com", "/x", "block"), ("com", "/", "allow"), (None, "/", "block")], "host string, path string, action string")
+    long = "a." * 20_000 + "com"
+    pages = spark.createDataFrame([(1, f"http://{long}/x/y"), (2, f"http://{long}/" + "z" * 100_000), (3, "http://" + "b" * 50_000 + ".org/")], "page_id long, url string")
+    assert sorted((r["page_id"], r["rule"], r["verdict"]) for r in judge_urls(pages, rules).collect()) == [(1, "a.com/x", "block"), (2, "com/", "allow"), (3, None, "allow")]
