@@ -5,7 +5,8 @@ outside the article, footers, sidebars, forms, adverts, notices, scripts, styles
 sections goes with its element. Pass one classifies each block by itself: link density, length and
 stop-word density make it good, bad or undecided (short or near-good). Pass two gives undecided
 blocks the label of their nearest decided neighbours; inside an element that the page marks as its
-article, both ends count as good neighbours.
+article, both ends count as good neighbours. Marks decide only where they hold most of the page's
+good text: a marked teaser beside an unmarked article changes nothing.
 """
 
 from __future__ import annotations
@@ -87,11 +88,80 @@ def _excluded(tag: str, raw: str, in_article: bool) -> bool:
     return "display:none" in a.get("style", "").replace(" ", "").lower() or bool(PART.search(name)) and not (tag in ("p", "h1", "h2", "h3", "span", "b", "i", "em", "strong") and in_article and tag != "p")
 
 
+class Open:
+    """The open elements, with the places of each tag, of block elements and of list holders, so that no step scans them."""
+
+    HOLDERS = frozenset(("ul", "ol", "dl", "table", "select"))
+
+    def __init__(self) -> None:
+        self.elements: list[tuple[str, bool, bool, bool]] = []  # tag, excluded, in an article, in a link
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.holders: list[int] = []
+
+    def top(self) -> tuple[str, bool, bool, bool]:
+        return self.elements[-1] if self.elements else ("", False, False, False)
+
+    def push(self, element: tuple[str, bool, bool, bool]) -> None:
+        k, tag = len(self.elements), element[0]
+        self.elements.append(element)
+        self.places.setdefault(tag, []).append(k)
+        if tag in BLOCKS:
+            self.blocks.append(k)
+        if tag in self.HOLDERS:
+            self.holders.append(k)
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of this tag, or -1."""
+        at = self.places.get(tag)
+        return at[-1] if at else -1
+
+    def close(self, k: int) -> None:
+        """End the element at place k and all inside it: each is ended once, so closing is linear in all."""
+        while len(self.elements) > k:
+            tag = self.elements.pop()[0]
+            self.places[tag].pop()
+            if self.blocks and self.blocks[-1] == len(self.elements):
+                self.blocks.pop()
+            if self.holders and self.holders[-1] == len(self.elements):
+                self.holders.pop()
+
+    def end_tag(self, tag: str) -> None:
+        k = self.last(tag)
+        # an inline end tag does not close the blocks around it
+        if k >= 0 and (tag in BLOCKS or not self.blocks or self.blocks[-1] <= k):
+            self.close(k)
+
+    def before(self, tag: str) -> None:
+        """End what a start tag ends: an open p before a block, an open item before the next one."""
+        if tag in ENDS_P:
+            k = self.last("p")
+            if k >= 0 and self.blocks[-1] == k:
+                self.close(k)
+        elif tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
+            k = self.last(tag)
+            if k >= 0 and (not self.holders or self.holders[-1] < k):
+                self.close(k)
+
+
+END_OF = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in RAW | {"script", "style"}}
+
+
+def _marked(tag: str, raw: str) -> bool:
+    """Does the page mark the element as its article?"""
+    if tag in ("article", "main"):
+        return True
+    if tag not in ("div", "section", "td") or not raw.strip():
+        return False
+    a = _attributes(raw)
+    return bool(MARK.search(f" {a.get('class', '')} {a.get('id', '')} {a.get('itemprop', '')}".lower().replace("articlebody", "article")))
+
+
 def blocks(page: str) -> list[Block]:
-    """Blocks in page order, without those in excluded elements. Unclosed and crossed tags are tolerated."""
+    """Blocks in page order, without those in excluded elements, in time linear in the page. Unclosed and crossed tags are tolerated."""
     out: list[Block] = []
     now = Block()
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, excluded, in an article, in a link
+    stack = Open()
     at, n = 0, len(page)
 
     def flush(tag: str) -> None:
@@ -99,15 +169,16 @@ def blocks(page: str) -> list[Block]:
         if now.text:
             out.append(now)
             now = Block()
-        now.tag, now.article = tag, bool(stack) and stack[-1][2]
+        now.tag, now.article = tag, stack.top()[2]
 
     def add(raw: str) -> None:
-        if stack and stack[-1][1] or not now.text and raw.isspace():
+        top = stack.top()
+        if top[1] or not now.text and raw.isspace():
             return
         text = html.unescape(raw) if "&" in raw else raw
         if text:
             now.text.append(text)
-            if stack and stack[-1][3]:
+            if top[3]:
                 now.linked += len("".join(text.split()))
 
     search = TOKEN.search
@@ -127,35 +198,25 @@ def blocks(page: str) -> list[Block]:
         if m[1]:
             if tag in BLOCKS:
                 flush("")
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            # an inline end tag does not close the blocks around it
-            if k is not None and not (tag not in BLOCKS and any(s[0] in BLOCKS for s in stack[k + 1 :])):
-                del stack[k:]
+            stack.end_tag(tag)
             if tag in BLOCKS:
-                now.article = bool(stack) and stack[-1][2]
+                now.article = stack.top()[2]
             continue
-        if tag in ENDS_P:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-            if k is not None and all(s[0] not in BLOCKS for s in stack[k + 1 :]):
-                del stack[k:]
-        elif tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
-            k = max((i for i, s in enumerate(stack) if s[0] == tag), default=None)
-            if k is not None and not any(s[0] in ("ul", "ol", "dl", "table", "select") for s in stack[k + 1 :]):
-                del stack[k:]
+        stack.before(tag)
         if tag in BLOCKS:
             flush(tag)
-        if tag in ("script", "style") or tag in RAW and not raw.rstrip().endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
+        alone = raw.rstrip().endswith("/")
+        if tag in ("script", "style") or tag in RAW and not alone:
+            end = END_OF[tag].search(page, at)
             at = end.end() if end else n
             continue
-        if tag in VOID or raw.rstrip().endswith("/"):
+        if tag in VOID or alone:
             continue
-        above = stack[-1] if stack else ("", False, False, False)
-        named = tag in ("article", "main") or tag in ("div", "section", "td") and bool(raw.strip()) and bool(MARK.search(f" {_attributes(raw).get('class', '')} {_attributes(raw).get('id', '')} {_attributes(raw).get('itemprop', '')}".lower().replace("articlebody", "article")))
+        above = stack.top()
         excluded = above[1] or _excluded(tag, raw, above[2])
-        stack.append((tag, excluded, (above[2] or named) and not excluded, above[3] or tag == "a"))
+        stack.push((tag, excluded, (above[2] or _marked(tag, raw)) and not excluded, above[3] or tag == "a"))
         if tag in BLOCKS:
-            now.article = stack[-1][2]
+            now.article = stack.top()[2]
     flush("")
     return out
 
@@ -178,40 +239,52 @@ def _class(block: Block, text: str) -> str:
     return "short"
 
 
-def main_text(page: str) -> str:
-    r"""The article's blocks, each with its white space turned into single spaces, joined by \n\n."""
-    found = [(b, t) for b in blocks(page) if (t := b.done())]
-    if not found:
-        return ""
-    if any(b.article for b, _ in found):
-        found = [(b, t) for b, t in found if b.article]
-        edge = "good"
-    else:
-        edge = "bad"
-    first = [_class(b, t) for b, t in found]
-    if "good" not in first:  # the best there is counts as the text
-        first = ["good" if c == "near" else c for c in first]
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+
+
+def neighbours(first: list[str], heading: list[bool], edge: str) -> list[str]:
+    """Pass two: labels of undecided blocks from the nearest decided block on either side, the page's ends counting as edge."""
     label = list(first)
     decided = [c if c in ("good", "bad") else None for c in first]
     before, last = [], (edge, -1)
     for i, c in enumerate(decided):
         before.append(last)
         last = (c, i) if c else last
-    after, last = [], (edge, len(found))
-    for i in range(len(found) - 1, -1, -1):
+    after, last = [], (edge, len(first))
+    for i in range(len(first) - 1, -1, -1):
         after.append(last)
         last = (decided[i], i) if decided[i] else last
     after.reverse()
     for i, c in enumerate(first):
-        if c in ("good", "bad"):
+        if decided[i]:
             continue
         (left, l), (right, r) = before[i], after[i]
         if left == right:
             label[i] = left
-        elif c == "near" or found[i][0].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+        elif c == "near" or heading[i]:
             label[i] = "good"  # a sentence at the border, or a heading above the text
         else:
             label[i] = left if i - l <= r - i else right
+    return label
+
+
+def main_text(page: str) -> str:
+    r"""The article's blocks, each with its white space turned into single spaces, joined by \n\n."""
+    found = [(b, t) for b in blocks(page) if (t := b.done())]
+    if not found:
+        return ""
+    first = [_class(b, t) for b, t in found]
+    inside = [b.article for b, _ in found]
+    good = [len(t) if c == "good" else 0 for (_, t), c in zip(found, first, strict=True)]
+    # marks that hold less than half of the good text mark something else than the article
+    if any(inside) and 2 * sum(n for n, x in zip(good, inside, strict=True) if x) >= sum(good):
+        found, first = ([v for v, x in zip(values, inside, strict=True) if x] for values in (found, first))
+        edge = "good"
+    else:
+        edge = "bad"
+    if "good" not in first:  # the best there is counts as the text
+        first = ["good" if c == "near" else c for c in first]
+    label = neighbours(first, [b.tag in HEADINGS for b, _ in found], edge)
     return "\n\n".join(t for (_, t), c in zip(found, label, strict=True) if c == "good")
 
 
@@ -226,8 +299,10 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_text(pages: DataFrame) -> DataFrame:
     """One row per row of pages (page_id, url, html): page_id, url, text, n_chars (code points).
 
-    Null or empty html, or html without an article's text, gives an empty text. Repeated rows are
-    extracted each; other columns are ignored; an empty table gives an empty result.
+    Null or empty html, or html without an article's text, gives an empty text; a null page_id or url
+    stays null. Very long pages and very deep or unclosed elements take time linear in their length.
+    Between two equally near decided neighbours the one before counts. Repeated rows are extracted
+    each; other columns are ignored, whatever their names; an empty table gives an empty result.
     """
     bounded_batches(pages.sparkSession)
     cols = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
