@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 #: White space of the word and text contracts: space and the bytes 9 to 13.
 ASCII_SPACE = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
-#: Most ids that a broadcast may carry (about 64 MB once hashed); above it joins shuffle.
-BROADCAST_IDS = 2_000_000
+#: Most ids that a broadcast may carry (about 12 MB of rows, 32 MB once hashed); above it joins shuffle.
+BROADCAST_IDS = 500_000
 #: Largest Arrow batch handed to a Python worker.
 BATCH_BYTES = 4 << 20
 #: Name of the row key; together with doc_id it tells all rows apart.
@@ -20,10 +20,13 @@ ROW = "__row"
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Make checkpoint() usable: the cluster's folder where it names one, else an own one (tests)."""
+    """Make checkpoint() usable: the folder that the cluster names, or one of its own where all runs on one machine."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodeframe-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("a cluster must name a shared folder in spark.checkpoint.dir")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lodeframe-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
