@@ -1,10 +1,11 @@
 """License scan: ordered signature rules, a keyword gate, priority and containment.
 
-Rules come from families (a licence and the ways its name is written) and statement forms (the ways
-a name is put to use); crossing them gives a few hundred regular expressions, ordered by
-priority. A family's expressions run only on texts that hold one of its keywords. Of overlapping
-detections the one with the higher priority stays, then the longer; a detection inside another of
-at least its priority goes.
+Rules are the hand-written signatures of license_rules: licence texts, notices, exceptions, names,
+abbreviations and statements, ordered by priority. Between two words of an expression any gap may
+stand, a run of white space and comment marks, so wrapped and commented notices match too. A
+rule runs only on texts that hold one of its keywords; keywords are parts of words that every match
+contains, so the gate loses nothing. Where one detection lies inside another, the one with the
+higher priority stays, of equal ones the longer; detections that merely overlap both stay.
 
 Beside the rules stand the base phrases: places where a phrase's words stand consecutively.
 """
@@ -12,7 +13,7 @@ Beside the rules stand the base phrases: places where a phrase's words stand con
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,79 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeframe.llm.common import bounded_batches
+from lodeframe.llm.license_rules import RULES, SPDX_IDS
 from lodeframe.llm.textkit import chunks
 
 #: Base phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-_V = r"(?:,? ?(?:version|v\.?|ver\.?)?[ -]?"
-#: Abbreviations that end many words count as keywords only before what may follow them in a name.
-_BEFORE_GAP = {k: tuple(k + c for c in " \t\n\r\x0b\x0c*#/-" + more) for k, more in (("cc", ""), ("mpl", ",v12"), ("epl", ",v12"))}
-#: label, keywords (one must be in the text; no gap inside them, since it may be any white space or comment mark), name as a regular expression on lower-cased text.
-FAMILIES = (
-    ("agpl-3.0", ("affero", "agpl"), r"(?:gnu )?(?:affero general public licen[sc]e|agpl)" + _V + r"3(?:\.0)?)"),
-    ("lgpl-2.1", ("lesser", "library", "lgpl"), r"(?:gnu )?(?:(?:lesser|library) general public licen[sc]e|lgpl)" + _V + r"2(?:\.[01])?)"),
-    ("lgpl-3.0", ("lesser", "lgpl"), r"(?:gnu )?(?:lesser general public licen[sc]e|lgpl)" + _V + r"3(?:\.0)?)"),
-    ("gpl-1.0", ("general", "gpl"), r"(?:gnu )?(?:general public licen[sc]e|gpl)" + _V + r"1(?:\.0)?)(?!\d)"),
-    ("gpl-2.0", ("general", "gpl"), r"(?:gnu )?(?:general public licen[sc]e|gpl)" + _V + r"2(?:\.0)?)(?!\d)"),
-    ("gpl-3.0", ("general", "gpl"), r"(?:gnu )?(?:general public licen[sc]e|gpl)" + _V + r"3(?:\.0)?)(?!\d)"),
-    ("gfdl", ("documentation",), r"(?:gnu )?free documentation licen[sc]e(?:,? version 1\.[0-3])?"),
-    ("apache-1.1", ("apache",), r"apache (?:software )?licen[sc]e" + _V + r"1\.[01])"),
-    ("apache-2.0", ("apache",), r"(?:apache (?:software )?licen[sc]e" + _V + r"2(?:\.0)?)|apache-2\.0)"),
-    ("mit", ("license", "licence"), r"(?:mit|expat)[ -]licen[sc]e"),
-    ("bsd-2-clause", ("bsd",), r"(?:(?:simplified|2-clause|two-clause|freebsd)(?: freebsd)? bsd|bsd[ -](?:2-clause|two-clause))(?: licen[sc]e)?"),
-    ("bsd-3-clause", ("bsd",), r"(?:(?:new|modified|revised|3-clause|three-clause) bsd|bsd[ -](?:3-clause|three-clause))(?: licen[sc]e)?"),
-    ("bsd-4-clause", ("bsd",), r"(?:(?:original|4-clause|four-clause) bsd|bsd[ -]4-clause)(?: licen[sc]e)?"),
-    ("isc", ("isc",), r"isc licen[sc]e"),
-    ("zlib", ("zlib",), r"zlib(?:/libpng)? licen[sc]e"),
-    ("mpl-1.1", ("mozilla", *_BEFORE_GAP["mpl"]), r"(?:mozilla public licen[sc]e|mpl)" + _V + r"1\.[01])"),
-    ("mpl-2.0", ("mozilla", *_BEFORE_GAP["mpl"]), r"(?:mozilla public licen[sc]e|mpl)" + _V + r"2(?:\.0)?)"),
-    ("epl-1.0", ("eclipse", *_BEFORE_GAP["epl"]), r"(?:eclipse public licen[sc]e|epl)" + _V + r"1(?:\.0)?)"),
-    ("epl-2.0", ("eclipse", *_BEFORE_GAP["epl"]), r"(?:eclipse public licen[sc]e|epl)" + _V + r"2(?:\.0)?)"),
-    ("cddl", ("development", "cddl"), r"(?:common development and distribution licen[sc]e|cddl)(?:,? (?:version )?1\.[01])?"),
-    ("eupl", ("european", "eupl"), r"(?:european union public licen[sc]e|eupl)(?:,? ?v?(?:ersion )?1\.[0-2])?"),
-    ("artistic", ("artistic",), r"artistic licen[sc]e(?:,? (?:version )?[12]\.0)?"),
-    ("bsl-1.0", ("boost",), r"boost software licen[sc]e(?:,? (?:version )?1\.0)?"),
-    ("ofl-1.1", ("font",), r"(?:sil )?open font licen[sc]e(?:,? (?:version )?1\.[01])?"),
-    ("odbl", ("database", "odbl"), r"(?:open database licen[sc]e|odbl)(?:,? ?v?1\.0)?"),
-    ("unlicense", ("unlicense",), r"(?:the )?unlicense"),
-    ("wtfpl", ("wtfpl", "fuck"), r"(?:wtfpl|do what the fuck you want to public licen[sc]e)"),
-    ("postgresql", ("postgresql",), r"postgresql licen[sc]e"),
-    ("python", ("python",), r"python software foundation licen[sc]e"),
-    ("openssl", ("openssl",), r"openssl licen[sc]e"),
-    ("cc0", ("cc0", "commons"), r"(?:cc0(?: ?1\.0)?|creative commons zero)"),
-    ("cc-by", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by|creative commons attribution)(?![ -](?:nc|nd|sa|non|no-|share))(?:[ -][1-4]\.[05])?"),
-    ("cc-by-sa", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]sa|creative commons attribution[ -]share-?alike)(?:[ -][1-4]\.[05])?"),
-    ("cc-by-nd", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]nd|creative commons attribution[ -]no-?deriv(?:s|atives))(?:[ -][1-4]\.[05])?"),
-    ("cc-by-nc", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]nc|creative commons attribution[ -]non-?commercial)(?![ -](?:nd|sa|no-|share))(?:[ -][1-4]\.[05])?"),
-    ("cc-by-nc-sa", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]nc[ -]sa|creative commons attribution[ -]non-?commercial[ -]share-?alike)(?:[ -][1-4]\.[05])?"),
-    ("cc-by-nc-nd", (*_BEFORE_GAP["cc"], "commons"), r"(?:cc[ -]by[ -]nc[ -]nd|creative commons attribution[ -]non-?commercial[ -]no-?deriv(?:s|atives))(?:[ -][1-4]\.[05])?"),
-)
-#: priority, form: how a name is put to use; {n} is the name.
-FORMS = (
-    (90, r"spdx-license-identifier: {n}"),
-    (80, r"(?:is |are )?(?:licen[sc]ed|released|distributed|made available|published|redistributed) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{n}"),
-    (75, r"(?:terms|conditions|provisions) of (?:the )?{n}"),
-    (70, r"subject to (?:the )?(?:terms of )?(?:the )?{n}"),
-    (65, r"(?:covered|governed|protected) by (?:the )?{n}"),
-    (60, r"(?:licen[sc]e|lizenz|licencia): ?{n}"),
-    (55, r"(?:use|copy|modify|share) (?:it |this (?:work|file|text) )?under (?:the )?{n}"),
-    (50, r"{n} (?:or|and) (?:\(?at your option\)?,? )?(?:any )?later"),
-    (30, r"{n}"),
-)
-#: Signatures of their own: priority, label, keywords, expression.
-SINGLES = (
-    (85, "mit", ("hereby",), r"permission is hereby granted,? free of charge,? to any person obtaining a copy"),
-    (85, "isc", ("permission",), r"permission to use, copy, modify,? and(?:/or)? distribute this software for any purpose"),
-    (85, "bsd", ("redistribution",), r"redistribution and use in source and binary forms,? with or without modification"),
-    (85, "gpl", ("redistribute",), r"free software: you can redistribute it and/or modify"),
-    (40, "reserved", ("reserved",), r"all rights reserved"),
-    (20, "gpl", ("general",), r"general public licen[sc]e"),
-    (15, "copyright", ("copyright", "(c)", "©"), r"(?:copyright|\(c\)|©) (?:\(c\) )?(?:19|20)\d\d"),
-    (15, "public-domain", ("domain",), r"(?:in|to|into) the public domain"),
-)
-
-
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -104,19 +38,33 @@ class Rule:
 
 
 #: White space and comment marks between words.
-GAP = r"[\s*#/]"
+GAP = r"[\s*#/%;]"
+#: Of an expression: classes that hold a blank, optional blanks, blanks.
+_BLANKS = re.compile(r"\[( [:-]*)\](\+|\?)?| (\?)?")
+SPDX_PRIORITY = 97
+SPDX = re.compile(rb"(?<![0-9a-z])spdx-license-identifier:[ \t]*+([a-z0-9.+()-]++(?:[ \t]++(?:and|or|with)[ \t]++[a-z0-9.+()-]++)*)")
+SPDX_TOKEN = re.compile(rb"[a-z0-9.+-]+")
+_KNOWN = {i.encode() for i in SPDX_IDS}
+
 
+def with_gaps(expression: str, gap: str = GAP) -> str:
+    """The expression with gaps for its blanks, taken whole, so long ones cost no retries."""
 
-def _compiled(expression: str) -> re.Pattern[bytes]:
-    # a blank stands for a gap, taken whole, so long ones cost no retries; a match may not cut a word
-    body = re.sub(" [?]?", lambda m: GAP + ("*+" if m.group()[1:] else "++"), expression.replace("[ -]", f"(?:-|{GAP}++)"))
-    return re.compile(rb"(?<![0-9a-z\x80-\xff])(?:" + body.encode() + rb")(?![0-9a-z\x80-\xff])")
+    def blank(m: re.Match) -> str:
+        if m[1]:
+            signs = f"[{m[1][1:]}]"
+            return f"(?:{signs}|{gap})++" if m[2] == "+" else f"(?:{signs}|{gap}++){m[2] or ''}"
+        return gap + ("*+" if m[3] else "++")
+
+    return _BLANKS.sub(blank, expression)
 
 
 def build_rules() -> tuple[Rule, ...]:
-    """All rules, highest priority first."""
-    rules = [Rule(label, p, tuple(k.encode() for k in words), _compiled(form.replace("{n}", f"(?:{name})"))) for label, words, name in FAMILIES for p, form in FORMS]
-    rules += [Rule(label, p, tuple(k.encode() for k in words), _compiled(expression)) for p, label, words, expression in SINGLES]
+    """All rules, highest priority first. A match may not cut a word."""
+    rules = [
+        Rule(label, p, tuple(k.encode() for k in words.split("|")), re.compile(rb"(?<![0-9a-z\x80-\xff])(?:" + with_gaps(expression).encode() + rb")(?![0-9a-z\x80-\xff])"))
+        for p, label, words, expression in RULES
+    ]
     return tuple(sorted(rules, key=lambda r: -r.priority))
 
 
@@ -128,22 +76,33 @@ def by_keyword(rules: tuple[Rule, ...]) -> dict[bytes, list[Rule]]:
     return out
 
 
+def spdx_ids(text: bytes) -> list[tuple[int, int, int, str]]:
+    """The ids of SPDX lines, joined by and, or and with, as candidates."""
+    if b"spdx-license-identifier" not in text:
+        return []
+    lines = [(m.start(1), m[1]) for m in SPDX.finditer(text)]
+    return [(-SPDX_PRIORITY, t.start() - t.end(), at + t.start(), t[0].decode()) for at, line in lines for t in SPDX_TOKEN.finditer(line) if t[0] in _KNOWN]
+
+
 def detections(text: bytes, gate: dict[bytes, list[Rule]]) -> list[tuple[int, int, str, int]]:
     """(start, end, label, priority) in the lower-cased text after suppression, by start.
 
-    Candidates are taken by priority, then length, then start, then label; one that overlaps
-    another already taken, be it inside it or not, is suppressed.
+    Candidates are taken by priority, then length, then start, then label; one that lies inside another
+    already taken, or holds one, is suppressed.
     """
     due = dict.fromkeys(r for k, rules in gate.items() if k in text for r in rules)
-    found = [(-r.priority, m.start() - m.end(), m.start(), r.label) for r in due for m in r.expression.finditer(text)]
-    taken: list[tuple[int, int, str, int]] = []
+    found = [(-r.priority, m.start() - m.end(), m.start(), r.label) for r in due for m in r.expression.finditer(text)] + spdx_ids(text)
+    # none of those taken holds another, so in the order of their starts their ends rise as well
     starts: list[int] = []
+    ends: list[int] = []
+    taken: list[tuple[int, int, str, int]] = []
     for less, width, start, label in sorted(found):
         end = start - width
-        i = bisect_left(starts, start)
-        if (i < len(starts) and starts[i] < end) or (i and taken[i - 1][1] > start):
+        i, j = bisect_right(starts, start), bisect_left(starts, start)
+        if (i and ends[i - 1] >= end) or (j < len(starts) and ends[j] <= end):
             continue
         starts.insert(i, start)
+        ends.insert(i, end)
         taken.insert(i, (start, end, label, -less))
     return taken
 
@@ -202,8 +161,11 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after A-Z are lower-cased, counted from 0.
     n_base counts all places of base phrases; first_word and last_word are null without one. Labels
     are distinct, sorted and comma-joined, empty where there are none; score is 0 then, else
-    grows with the number and priority of what was found. Null text counts as empty. Repeated rows
-    are scanned each; other columns are ignored; an empty table gives an empty result.
+    grows with the number and priority of what was found. Null text counts as empty, and an empty one
+    has neither words nor labels. Very long texts are scanned whole; long gaps cost no retries. Of
+    detections with equal priority, length and place the first label counts. Repeated rows are scanned
+    each, whatever their doc_id; other columns are ignored, whatever their names; an empty table
+    gives an empty result.
     """
     bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scanned, SCHEMA)

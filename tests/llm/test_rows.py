@@ -112,23 +112,6 @@ def test_licenses_base(spark):
         assert set(want[4].split(",")) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
 
 
-@pytest.mark.parametrize(
-    "text, want",
-    [
-        (b"licensed under the apache license, version 2.0", ["apache-2.0"]), (b"spdx-license-identifier: mpl-2.0", ["mpl-2.0"]), (b"cc by-nc-sa 4.0", ["cc-by-nc-sa"]), (b"creative commons attribution 4.0", ["cc-by"]), (b"nothing here", []),
-        (b"gnu lesser general public license v2.1", ["lgpl-2.1"]), (b"the mit license and the bsd-3-clause license", ["mit", "bsd-3-clause"]),
-    ],
-)
-def test_license_rules(text, want):
-    assert [x[2] for x in licenses.detections(text, licenses.by_keyword(licenses.build_rules()))] == want
-
-
-def test_license_suppression():
-    found = licenses.detections(b"all of it is licensed under the terms of the gnu general public license v3 or later", licenses.by_keyword(licenses.build_rules()))
-    assert all(a[1] <= b[0] for a, b in zip(found, found[1:])) and found[0][2:] == ("gpl-3.0", 80)
-    assert len(licenses.build_rules()) >= 300
-
-
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>x";</script></head><body><header>Site <a href=/>home</a></header><nav><ul><li><a href=/a>A</a><li><a href=/b>B</a></ul></nav>
 <div class="cookie-notice">We use cookies for the best of all.</div><div class="ad">Buy the thing now, it is the best.</div>%s<aside>See also the others.</aside><form><label>Name</label><input name=q></form>
 <section id="comments"><p>First! This is the best comment that there is on the page.</p></section><footer>&copy; 2024 all of us</footer></body></html>"""
