@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeframe.llm.common import bounded_batches
-from lodeframe.llm.textkit import chunks, held
+from lodeframe.llm.textkit import WORD_BYTES, chunks, held
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -29,19 +29,19 @@ LABELLED = (
     "please call {phone:555-123-4567} before noon", "call me at {phone:(212) 555-0199} or come by", "tel {phone:030 1234567} office hours", "phone: {phone:(020) 7946 0018}",
     "my mobile is {phone:07700 900123} thanks", "fax {phone:212-555-0147} and mail", "telefon {phone:089 / 123456} oder besuch", "ring {phone:555.867.5309} any time",
     "tel: {phone:0171-5551234}.", "cell {phone:(415)555-2671}, ask for him", "contact phone {phone:1-800-555-0199} toll free", "appelez {phone:01 23 45 67 89} le matin",
-    "telefono {phone:91 123 45 67} por la tarde", "call {phone:+1 (073) 555-8658} now", "and {phone:+1 (051) 555-0588} then", "phone {phone:00 49 30 901820} abroad",
+    "telefono {phone:91 123 45 67} por la tarde", "call {phone:+1 (415) 555-0132} now", "and {phone:+44 (20) 7946-0991} then", "phone {phone:00 49 30 901820} abroad",
     "write to {email:john.doe at example dot com} for help", "mail {email:jane (at) example (dot) org} today", "email {email:info [at] example [dot] net} us", "contact {email:sales at shop dot example dot com} please",
-    "reach {email:a.smith (at) mail.example.com} soon", "e-mail {email:bob at example.org} anytime", "or {email:the.94@mail8.example.com} of", "to {email:rething.09@mail6.example.com} and",
+    "reach {email:a.smith (at) mail.example.com} soon", "e-mail {email:bob at example.org} anytime", "or {email:max.7@post.beispiel.org} of", "to {email:lea.marie.31@mx2.firma.net} and",
     "email me {email:kim@localhost} maybe", "mail an {email:eva [at] beispiel.de} bitte",
-    "host {ip:192 . 168 . 1 . 20} is down", "server {ip:10[.]0[.]0[.]7} was seen", "ip {ip:172(.)16(.)4(.)9} blocked", "ip address {ip:129.190.225.188} que", "and {ip:89.63.108.71} then", "from ip {ip:203[.]0[.]113[.]5}, twice",
+    "host {ip:192 . 168 . 1 . 20} is down", "server {ip:10[.]0[.]0[.]7} was seen", "ip {ip:172(.)16(.)4(.)9} blocked", "ip address {ip:172.31.254.9} que", "and {ip:8.26.56.26} then", "from ip {ip:203[.]0[.]113[.]5}, twice",
     "card {card:4111.1111.1111.1111} expires soon", "visa {card:4111 1111 1111 1111} thanks", "credit card {card:5500/0000/0000/0004} on file", "mastercard {card:5500_0000_0000_0004} used", "the {card:4111111111111111} heed", "amex {card:3400.000000.00009} paid",
     # texts without personal data
     "the quick brown fox jumps over the lazy dog", "it was the best of times, it was the worst of times.", "In 2019 there were 1,234,567 people in the city", "version 2.0. of the work", "released under version 3. of the terms",
-    "licensed under cc by-nc 4.0. today", "on 2024-01-15 at 10:30 we met", "the price was $1,299.99 for 3 items", "see section 4.2.1 and figure 7.3", "token = \"9c1185a5c5e9fc54612808977ee8f548b2258d31\" there",
+    "licensed under cc by-nc 4.0. today", "on 2024-01-15 at 10:30 we met", "the price was $1,299.99 for 3 items", "see section 4.2.1 and figure 7.3", "token = \"0f3ab94de17c5528aa61c7d9e0b4432f9d87be60\" there",
     "he was born on 12/05/1987 in the north", "order 12345678 was sent", "the score was 21 - 14 at half time", "chapter 12 begins on page 345", "isbn 978-3-16-148410-0 is a book", "look at the dot on the map", "we met at noon at the station",
-    "at the end of the day", "she arrived at dot com headquarters", "Er. Er. Thinat here.", "of%%% was&&& in%%% ly*** orble### the$$$", "THED!! THE,!! A!! ERORWH!!", "anheing | erorea | oulyha | ertire", "call the office in the morning", "the card was blue and the phone rang",
-    "an ip address is a number", "mail came late on monday", "his phone is new", "number 1234567890123456 is a serial", "id 3950404707173035 of the part", "parts 100-200-300 and 400", "between 1000 and 2000 words", "10 000 000 people live there", "3 500 km away", "die 24 stunden von le mans",
-    "el 15 de mayo de 2020", "le 14 juillet 1789 au matin", "temperature 21.5 degrees and 1013 hpa", "a - b - c and x.y.z", "http://ththre.example.com/fr/825?page=2&ref=x is a page", "www.example.com/en/25 too", "ratio 1:2:3 or 4:5", "coordinates 52.5200 13.4050", "build 10.0.19045.3803 of it",
+    "at the end of the day", "she arrived at dot com headquarters", "So. So. Quendal here.", "go%%% far&&& up%%% my*** table### our$$$", "STOP!! GO,!! NOW!! FASTER!!", "harbour | meadow | lantern | copper", "call the office in the morning", "the card was blue and the phone rang",
+    "an ip address is a number", "mail came late on monday", "his phone is new", "number 1234567890123456 is a serial", "id 7305116208834419 of the part", "parts 100-200-300 and 400", "between 1000 and 2000 words", "10 000 000 people live there", "3 500 km away", "die 24 stunden von le mans",
+    "el 15 de mayo de 2020", "le 14 juillet 1789 au matin", "temperature 21.5 degrees and 1013 hpa", "a - b - c and x.y.z", "http://shop.beispiel.org/fr/825?page=2&ref=x is a page", "www.example.com/en/25 too", "ratio 1:2:3 or 4:5", "coordinates 52.5200 13.4050", "build 10.0.19045.3803 of it",
 )
 CUES = frozenset(
     "phone tel telephone call mobile cell fax ring telefon telefono appelez contact reach write mail email e-mail at dot card visa mastercard amex credit ip host server address".split()
@@ -52,8 +52,12 @@ _RUNS = re.compile(rb"X+|x+|ddddd+|([^Xxd])\1+")
 
 
 def shape(word: bytes) -> bytes:
-    """X, x and d for letters and digits; letter runs and long digit runs shortened."""
-    return _RUNS.sub(lambda m: m.group()[:5] if m.group()[:1] == b"d" else m.group()[:1], word[:64].translate(_SHAPE))[:32]
+    """X, x and d for letters and digits; letter runs and long digit runs shortened.
+
+    Of what is still over 32 signs: the first, the signs that occur, and the last, which is all that features of such words tell.
+    """
+    out = _RUNS.sub(lambda m: m.group()[:5] if m.group()[:1] == b"d" else m.group()[:1], word.translate(_SHAPE))
+    return out if len(out) <= 32 else out[:1] + b"~" + bytes(sorted(set(out))) + out[-1:]
 
 
 def word_type(word: bytes) -> tuple[bytes, bytes]:
@@ -177,6 +181,7 @@ class Tagger:
     def __init__(self, field: Field) -> None:
         self.field = field
         self.words: dict[bytes, int] = {}
+        self.size = 0
         self.types: dict[tuple[bytes, bytes], int] = {}
         self.classes: dict[str, int] = {"edge": 0}
         self.own, self.before, self.after = [], [field.scores(["before edge"])], [field.scores(["after edge"])]
@@ -197,13 +202,15 @@ class Tagger:
         return n
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        if len(self.words) > 200_000:
+        if len(self.words) > 200_000 or self.size > WORD_BYTES:
             self.words.clear()
+            self.size = 0
         if len(self.types) > 200_000:
             self.__init__(self.field)
         known = self.words
         for w in set(words).difference(known):
             known[w] = self._type(w)
+            self.size += len(w)
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def labels(self, words: list[bytes], lines: np.ndarray) -> np.ndarray:
@@ -303,12 +310,14 @@ def holds(kind: str, span: str) -> bool:
     """Does a span found by the field hold what its kind must?"""
     digits = _digits(span)
     if kind == "card":
-        return 12 <= len(digits) <= 19 and luhn(digits)
+        return 12 <= len(digits) <= 19 and not re.search(r"[A-Za-z]", span) and luhn(digits)
     if kind == "phone":
         return 7 <= len(digits) <= 15 and not re.search(r"[A-Za-z]", span) and bool(re.search(r"[^0-9]", span))
     if kind == "ip":
         parts = re.findall(r"[0-9]+", span)
         return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts) and not re.search(r"[A-Za-z]", span) and span.count(".") >= 3
+    if "\n" in span:
+        return False
     return bool(re.search(r"[A-Za-z0-9](?:@|\s*[(\[]\s*at\s*[)\]]\s*|\s+at\s+)[A-Za-z0-9-]+(?:\s*(?:\.|[(\[]\s*dot\s*[)\]]|\sdot\s)\s*[A-Za-z0-9-]+)+", span, re.I)) or bool(re.fullmatch(r"[A-Za-z0-9._%+-]+@localhost", span))
 
 
@@ -340,27 +349,44 @@ SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+#: Without a digit, an @ or the word at, a line holds no address, and with a letter it is no part of a number: nothing that holds() accepts.
+MAY_HOLD = re.compile(rb"[0-9@]|(?<![A-Za-z])[aA][tT](?![A-Za-z])")
+LETTER = re.compile(rb"[A-Za-z]")
+
+
 def find_all(tagger: Tagger, texts: list[bytes]) -> list[tuple[list, list]]:
-    """(base spans, all spans) of each text."""
-    words, lines, count = [], [], []
+    """(base spans, all spans) of each text. Lines that can hold no span are not tagged."""
+    words, lines, runs = [], [], []  # runs: per text (words, tagged) of its lines
     for t in texts:
-        n = 0
-        for line in t.split(b"\n"):
-            if own := line.split():
-                words += own
-                lines.append(len(own))
-                n += len(own)
-        count.append(n)
-    labels = np.split(tagger.labels(words, np.array(lines, np.int64)), np.cumsum(count)[:-1])
+        own_runs = []
+        if MAY_HOLD.search(t):
+            for line in t.split(b"\n"):
+                if own := line.split():
+                    tagged = bool(MAY_HOLD.search(line)) or not LETTER.search(line)
+                    own_runs.append((len(own), tagged))
+                    if tagged:
+                        words += own
+                        lines.append(len(own))
+        runs.append(own_runs)
+    labels, at = tagger.labels(words, np.array(lines, np.int64)), 0
     out = []
-    for t, own in zip(texts, labels, strict=True):
+    for t, own_runs in zip(texts, runs, strict=True):
         text = t.decode()
         base = base_spans(text)
         every = list(base)
-        if own.any():
+        n = sum(k for k, tagged in own_runs if tagged)
+        if labels[at : at + n].any():
+            own, to = np.zeros(sum(k for k, _ in own_runs), np.int8), 0
+            for k, tagged in own_runs:
+                if tagged:
+                    own[to : to + k] = labels[at : at + k]
+                    at += k
+                to += k
             for s in spans_of(_WORD.finditer(text), own):
                 if holds(s[0], text[s[1] : s[2]]) and not any(s[1] < e and b < s[2] for _, b, e in base):
                     every.append(s)
+        else:
+            at += n
         out.append((base, sorted(every, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))))
     return out
 
@@ -375,8 +401,10 @@ def find_pii(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text), see SCHEMA.
 
     Counts and base_sha256 are of the base spans, spans of all: kind:start:end by start, then kind,
-    in code points, end exclusive, comma-joined. Null text counts as empty and has no spans. Repeated
-    rows are searched each; other columns are ignored; an empty table gives an empty result.
+    in code points, end exclusive, comma-joined; of two that start at one place the shorter comes first.
+    Null text counts as empty; an empty text has no spans. Very long texts, lines and words are read
+    whole. Repeated rows are searched each, whatever their doc_id; other columns are ignored, whatever
+    their names; an empty table gives an empty result.
     """
     field = field or default_field()
     bounded_batches(docs.sparkSession)

@@ -21,6 +21,8 @@ MASK = (1 << 64) - 1
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Bytes of text worked on at once, and words remembered by a worker.
 CHUNK_BYTES, VOCABULARY = 2 << 20, 200_000
+#: Bytes of words remembered: very long words fill a worker before there are many.
+WORD_BYTES = 32 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -91,10 +93,11 @@ class Vocabulary(dict):
 
     def __init__(self) -> None:
         super().__init__()
-        self.low, self.high = array("Q"), array("Q")
+        self.low, self.high, self.size = array("Q"), array("Q"), 0
 
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
+        self.size += len(word)
         both = xxhash.xxh3_128_intdigest(word)
         self.low.append(both & MASK)
         self.high.append(both >> 64)
@@ -103,9 +106,9 @@ class Vocabulary(dict):
     def hashes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         out = np.array(self.low, np.uint64)[ids], np.array(self.high, np.uint64)[ids]
-        if len(self) > VOCABULARY:
+        if len(self) > VOCABULARY or self.size > WORD_BYTES:
             self.clear()
-            self.low, self.high = array("Q"), array("Q")
+            self.low, self.high, self.size = array("Q"), array("Q"), 0
         return out
 
 
