@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from lodeframe.llm.textkit import BASES, mix
 
 SHARDS, SALTS = 64, 32
+#: Cells of the plain counts that tell very common values, and the shard number of their rows.
+COMMON_CELLS, COMMON = 1 << 16, -1
 SCHEMA = "shard int, salt int, once binary, twice binary"
 
 
@@ -38,11 +40,13 @@ class Sketch:
         self.bits, self.depth = bits, depth
         self.once = np.zeros((depth << bits) // 8, np.uint8)
         self.twice = np.zeros_like(self.once)
+        self.counts = np.zeros(COMMON_CELLS, np.uint64)
 
     def add(self, values: np.ndarray) -> None:
-        """Count each value once; values are 64-bit hashes."""
+        """Count each value once; values are 64-bit hashes. The plain counts take a value once per call, as each call's repeats are settled on the spot."""
         if not len(values):
             return
+        self.counts += np.bincount(common_cells(np.unique(values)), minlength=COMMON_CELLS).astype(np.uint64)
         for r in range(self.depth):
             cells = np.sort(cells_of(values, self.bits, r))
             new = np.concatenate(([True], cells[1:] != cells[:-1]))
@@ -57,7 +61,7 @@ class Sketch:
     def rows(self, salt: int) -> pa.RecordBatch:
         pack = zstandard.ZstdCompressor(level=1).compress
         shards = [(i, salt, pack(a.tobytes()), pack(b.tobytes())) for i, (a, b) in enumerate(zip(np.split(self.once, SHARDS), np.split(self.twice, SHARDS)))]
-        return _batch(shards)
+        return _batch([*shards, (COMMON, salt, pack(self.counts.tobytes()), b"")])
 
 
 def _batch(rows: list) -> pa.RecordBatch:
@@ -69,6 +73,10 @@ def cells_of(values: np.ndarray, bits: int, row: int) -> np.ndarray:
     return own.astype(np.uint32) + np.uint32(row << bits)
 
 
+def common_cells(values: np.ndarray) -> np.ndarray:
+    return (mix(values + np.uint64(BASES[1])) >> np.uint64(48)).astype(np.int64)
+
+
 def twice(plane: np.ndarray, values: np.ndarray, bits: int, depth: int = 2) -> np.ndarray:
     """Per value: is it estimated to occur twice or more?"""
     out = np.ones(len(values), bool)
@@ -81,8 +89,13 @@ def twice(plane: np.ndarray, values: np.ndarray, bits: int, depth: int = 2) -> n
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     open_ = zstandard.ZstdDecompressor().decompress
     held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    common = None
     for b in batches:
         for shard, once, two in zip(b["shard"].to_pylist(), b["once"], b["twice"]):
+            if shard == COMMON:
+                counts = np.frombuffer(open_(once.as_py()), np.uint64)
+                common = counts if common is None else common + counts
+                continue
             once, two = (np.frombuffer(open_(x.as_py()), np.uint8) for x in (once, two))
             if shard in held:
                 o, t = held[shard]
@@ -92,13 +105,18 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1).compress
     for shard, (once, two) in held.items():
         yield _batch([(shard, 0, pack(once.tobytes()), pack(two.tobytes()))])
+    if common is not None:
+        yield _batch([(COMMON, 0, pack(common.tobytes()), pack(b""))])
 
 
-def repeated(df: DataFrame, values_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int, depth: int = 2) -> Broadcast:
-    """The plane of cells counted twice or more over all partitions of df, for every task.
+def repeated(
+    df: DataFrame, values_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int, depth: int = 2, common_from: int | None = None
+) -> tuple[Broadcast, np.ndarray]:
+    """The plane of cells counted twice or more over all partitions of df, for every task; and cells of very common values.
 
     values_of turns a partition's batches into arrays of 64-bit hashes. The broadcast holds
-    depth * 2**bits / 8 bytes before compression, whatever the input.
+    depth * 2**bits / 8 bytes before compression, whatever the input. A cell is of a very common
+    value when at least common_from arrays hold one of its values, beyond four times the mean of all cells.
     """
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,9 +130,12 @@ def repeated(df: DataFrame, values_of: Callable[[Iterator[pa.RecordBatch]], Iter
     parts = df.mapInArrow(filled, SCHEMA)
     parts = parts.repartition(F.col("shard"), F.col("salt")).mapInArrow(_merged, SCHEMA)
     parts = parts.repartition(F.col("shard")).mapInArrow(_merged, SCHEMA)
-    rows = parts.select("shard", "twice").collect()  # SHARDS rows of fixed size
-    planes = {r["shard"]: bytes(r["twice"]) for r in rows}
-    return df.sparkSession.sparkContext.broadcast([planes.get(i) for i in range(SHARDS)])
+    # SHARDS + 1 rows of fixed size
+    rows = parts.select("shard", F.when(F.col("shard") == COMMON, F.col("once")).otherwise(F.col("twice")).alias("cells")).collect()
+    planes = {r["shard"]: bytes(r["cells"]) for r in rows}
+    counts = np.frombuffer(zstandard.ZstdDecompressor().decompress(planes[COMMON]), np.uint64) if COMMON in planes else np.zeros(COMMON_CELLS, np.uint64)
+    common = counts >= common_from + 4 * counts.mean() if common_from else np.zeros(COMMON_CELLS, bool)
+    return df.sparkSession.sparkContext.broadcast([planes.get(i) for i in range(SHARDS)]), common
 
 
 COUNTS = "shard int, salt int, counts binary"

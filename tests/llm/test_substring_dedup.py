@@ -80,3 +80,28 @@ def test_windows_hash_words_in_order():
             for x in h[i : i + n].tolist():
                 want = (want * BASES[0] + x) % 2**64
             assert int(got[i]) == want
+
+
+def test_very_common_windows_are_dealt_to_parts(spark):
+    for seed in (5, 6):
+        rows = corpus(70, seed)
+        df = docs(spark, rows).repartition(9)
+        for chunks in (1, 2, 4):
+            assert result(without_repeats(df, 20, 18, common_chunks=chunks)) == model(rows, 20), (seed, chunks)
+        assert result(without_repeats(df, 20, 8, common_chunks=3)) == model(rows, 20)
+
+
+def test_common_cells_are_counted_over_all_partitions(spark):
+    from lodeframe.llm.sketch import COMMON_CELLS, common_cells, repeated
+
+    one = np.array([123456789], np.uint64)
+    df = spark.range(0, 400, 1, 8)
+
+    def values(batches):
+        for b in batches:
+            yield np.concatenate((one, b["id"].to_numpy().astype(np.uint64) * np.uint64(BASES[0])))
+
+    _, common = repeated(df, values, 12, common_from=3)
+    assert common.sum() >= 1 and common[common_cells(one)].all() and len(common) == COMMON_CELLS
+    _, common = repeated(df, values, 12, common_from=1000)
+    assert not common.any()
