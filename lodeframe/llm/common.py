@@ -85,11 +85,14 @@ def with_rows(docs: DataFrame) -> DataFrame:
     return alone.unionByName(numbered.withColumn(ROW, F.col(ROW) + F.when(F.col("doc_id").isNull(), F.lit(2**62)).otherwise(F.lit(1))))
 
 
+def ids_name_rows(docs: DataFrame) -> bool:
+    """Does doc_id tell all rows apart?"""
+    return _repeated_ids(docs).isEmpty()
+
+
 def with_own_ids(docs: DataFrame) -> DataFrame:
     """docs with ROW, one number per row in the order of doc_id, null last: doc_id itself where it names all rows."""
-    if _repeated_ids(docs).isEmpty():
-        return docs.withColumn(ROW, F.col("doc_id").cast("long"))
-    return _in_order(docs)
+    return docs.withColumn(ROW, F.col("doc_id").cast("long")) if ids_name_rows(docs) else _in_order(docs)
 
 
 def select_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "left_semi") -> DataFrame:

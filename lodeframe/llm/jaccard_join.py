@@ -17,6 +17,7 @@ are asked for.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -27,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeframe.llm.common import ROW, bounded_batches, cut, select_ids, with_own_ids
+from lodeframe.llm.common import ROW, bounded_batches, cut, ids_name_rows, select_ids, with_own_ids
 from lodeframe.llm.sketch import cells_of, class_table, frequency_classes, plane, repeated, twice
 from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, vocabulary, windows
 from lodeframe.operators.components import connected_components
@@ -184,8 +185,12 @@ def links(members: DataFrame, percent: int) -> DataFrame:
     blocks = cut(left.select(*like).distinct())
     after = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
     # a pair is found at its first common shingle, after which at most `after` can be common
-    fits = (F.col("a_component") < F.col("b_component")) & _possible(percent, "a", "b") & _reaches(percent, after, "a", "b")
-    pairs = cut(_side(blocks, "a").join(_side(blocks, "b"), "shingle").filter(fits))
+    ordered = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_component") < F.col("b_component")))
+    fits = ordered & (F.col("a_component") != F.col("b_component")) & _possible(percent, "a", "b") & _reaches(percent, after, "a", "b")
+    # sizes that may link are in one step of sizes or in two neighbouring ones, so only blocks of like sizes meet
+    step = lambda n: F.floor(F.log(F.col(n).cast("double")) / math.log(100 / percent * 1.001))
+    smaller = _side(blocks, "a").withColumn("step", F.explode(F.array(step("a_n"), step("a_n") + 1)))
+    pairs = cut(smaller.join(_side(blocks, "b").withColumn("step", step("b_n")), ["shingle", "step"]).filter(fits).drop("step"))
     second = _side(left, "a").join(pairs, ["shingle", *(f"a_{c}" for c in like[1:])]).join(_side(left, "b"), ["shingle", *(f"b_{c}" for c in like[1:])])
     more = _verified(second.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")), members, percent)
     return found.union(more)
@@ -197,13 +202,25 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     A-Z are lower-cased, words are [^\\x20\\x09-\\x0D]+, a set holds the distinct shingles of `words` words (all
     words as one, if there are fewer). Two documents link when 100 * common >= percent * all shingles;
     component_id is the smallest doc_id reachable. Null, empty and blank texts have no shingles and
-    link with nothing: their component is their own doc_id. So do rows without a doc_id. Rows
-    repeating a doc_id with the same text are one document. Other columns are ignored; an empty
-    table gives an empty result.
+    link with nothing: their component is their own doc_id. Rows that share a doc_id, with equal texts
+    or not, and rows without one are documents of their own; a component without any doc_id has a
+    null one. Very long texts give one long set, which is compared whole. Shingles are equal when
+    their 64-bit hashes are. Other columns are ignored, whatever their names; an empty table gives
+    an empty result.
     """
-    bounded_batches(docs.sparkSession)
     cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sampled = repeated(cols, partial(_sampled, words), sketch_bits)
+    if ids_name_rows(cols):
+        return _classes(cols, words, percent, sketch_bits)
+    own = with_own_ids(cols)
+    found = _classes(own.select(F.col(ROW).alias("doc_id"), "text"), words, percent, sketch_bits).withColumnsRenamed({"doc_id": ROW, "component_id": "__class"})
+    names = own.select(ROW, "doc_id")
+    return found.join(names, ROW).join(names.select(F.col(ROW).alias("__class"), F.col("doc_id").alias("component_id")), "__class").select("doc_id", "n_shingles", "component_id")
+
+
+def _classes(cols: DataFrame, words: int, percent: int, sketch_bits: int) -> DataFrame:
+    """near_duplicates() of rows that doc_id tells apart."""
+    bounded_batches(cols.sparkSession)
+    sampled, _ = repeated(cols, partial(_sampled, words), sketch_bits)
     sets = cut(cols.mapInArrow(partial(_sets, words, percent, sketch_bits, sampled), SETS))
     # one member per distinct set: the least id, whose row holds the set in some chunk
     narrow = sets.select("doc_id", "n", "d1", "d2")
@@ -211,7 +228,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     held = sets.filter("shingles IS NOT NULL").select("doc_id", "d1", "d2", "shingles")
     held = held.join(firsts, ["d1", "d2"]).filter("doc_id = member").dropDuplicates(["d1", "d2"]).select("doc_id", "shingles")
     held = cut(held)
-    full = repeated(held, _all, sketch_bits)
+    full, _ = repeated(held, _all, sketch_bits)
     classes = frequency_classes(held, _all, CLASS_BITS)
     members = cut(held.mapInArrow(partial(_ordered, percent, sketch_bits, full, classes), MEMBERS))
     classes = cut(connected_components(links(members, percent)))
@@ -220,9 +237,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The row with the smallest doc_id (null last) of each class, all columns kept; rows that share a doc_id each count."""
+def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+    """The row with the smallest doc_id (null last) of each class, all columns kept; rows that share a doc_id each count.
+
+    Rows with a null, empty or blank text link with nothing and stay. Very long texts are compared whole;
+    of rows that tie in doc_id the one whose text hashes lower stays. An empty table stays empty;
+    further columns may have any names.
+    """
     own = with_own_ids(docs)
-    verdicts = near_duplicates(own.select(F.col(ROW).alias("doc_id"), "text"), **options)
+    verdicts = _classes(own.select(F.col(ROW).alias("doc_id"), "text"), words, percent, sketch_bits)
     dropped = cut(verdicts.filter("component_id != doc_id").select(F.col("doc_id").alias(ROW)))
     return select_ids(own, dropped, key=ROW, how="left_anti").drop(ROW)

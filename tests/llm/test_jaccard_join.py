@@ -1,6 +1,6 @@
 import random
 
-from lodeframe.llm.jaccard_join import near_duplicates
+from lodeframe.llm.jaccard_join import keep_first, near_duplicates
 from tests.llm.cases import corpus, docs, words
 
 
@@ -53,3 +53,23 @@ def test_family_of_near_copies(spark):
     rows += [(100 + i, " ".join(base[:40] + ["u%d-%d" % (i, k) for k in range(60)])) for i in range(20)]
     assert result(near_duplicates(docs(spark, rows), sketch_bits=18)) == model(rows)
     assert result(near_duplicates(docs(spark, rows), sketch_bits=8)) == model(rows)
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    r = random.Random(8)
+    a, b, c = (" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(40)) for _ in range(3))
+    got = sorted((str(x["doc_id"]), x["n_shingles"], str(x["component_id"])) for x in near_duplicates(docs(spark, [(5, a), (5, b), (7, a), (8, b), (None, c), (None, c), (None, b), (9, None), (None, "")]), sketch_bits=12).collect())
+    assert got == sorted([("5", 36, "5"), ("5", 36, "5"), ("7", 36, "5"), ("8", 36, "5"), ("None", 36, "None"), ("None", 36, "None"), ("None", 36, "5"), ("9", 0, "9"), ("None", 0, "None")])
+    # 7 and 8 are in classes of their own, though both have the smallest id 5
+    kept = sorted(x["text"] or "" for x in keep_first(docs(spark, [(5, a), (5, b), (7, a), (8, b), (None, c), (None, c)]), sketch_bits=12).collect())
+    assert kept == sorted([a, b, c])
+
+
+def test_sizes_at_the_threshold(spark):
+    """Sets of n shingles inside sets of n / 0.8: exactly linked, in neighbouring steps of sizes; one more shingle is too many."""
+    rows = []
+    for k, n in enumerate((4, 8, 16, 20, 40, 64, 100, 256)):
+        ws = [f"w{k}x{i}" for i in range(2 * n + 10)]
+        rows += [(10 * k, " ".join(ws[: n + 4])), (10 * k + 1, " ".join(ws[: n * 5 // 4 + 4])), (10 * k + 2, " ".join(ws[: n * 5 // 4 + 4] + ["y"])), (10 * k + 3, " ".join(["z", *ws[: n * 5 // 4 + 4], "z"]))]
+    for bits in (8, 16):
+        assert result(near_duplicates(docs(spark, rows), sketch_bits=bits)) == model(rows)
