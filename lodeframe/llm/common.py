@@ -95,6 +95,11 @@ def with_own_ids(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW, F.col("doc_id").cast("long")) if ids_name_rows(docs) else _in_order(docs)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """df, materialised, to be sent to every task if it has at most BROADCAST_IDS rows; else as it is, so that joins shuffle."""
+    return F.broadcast(df) if _few(df) else df
+
+
 def select_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "left_semi") -> DataFrame:
     """Rows of df whose key is (left_semi) or is not (left_anti) in ids; null equals null.
 

@@ -2,8 +2,9 @@
 
 Rows get a hash-random key, are range-sorted by it within their source, and take part up to the
 source's budget: a distributed prefix sum of sizes tells each row what stands before it. Ranges are
-fixed slices of the key space, so a source with a third of all rows is spread over as many ranges
-as any other, and a rerun gives the same mix whatever the partitions.
+equal slices of the key space, as many as the number of rows asks for, so a source with a third of all
+rows is spread over as many ranges as any other, and a rerun gives the same mix whatever the partitions
+and the number of ranges.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeframe.llm.common import ROW, bounded_batches, cut, with_rows
+from lodeframe.llm.common import ROW, bounded_batches, cut, small, with_rows
 from lodeframe.llm.textkit import held, utf8, word_counts
 
-RANGES = 1024
+#: Least number of ranges, and the rows that one range of one source holds on average at most.
+RANGES, RANGE_ROWS = 1024, 100_000
 SEED = "mix-1:"
 
 
@@ -58,31 +60,36 @@ def source_targets(per_source: DataFrame, cycle: int = 3, cap: int = 3) -> DataF
     return levels.select("source", "source_size", F.least(F.col("source_size") * F.lit(float(cap)), F.coalesce(F.col("final") * F.col("weight"), F.lit(0.0))).alias("target"))
 
 
-def _key(doc_id: Column) -> Column:
-    return F.md5(F.concat(F.lit(SEED), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def _key(doc_id: Column, row: Column) -> Column:
+    """Random key by hash; rows without a doc_id of their own get different ones, so they don't share a range."""
+    return F.md5(F.concat(F.lit(SEED), F.coalesce(doc_id.cast("string"), F.lit("")), F.when(row != 0, F.concat(F.lit(":"), row.cast("string"))).otherwise(F.lit(""))))
 
 
-def mix(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
+def mix(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """One row per row of docs (doc_id, source, text): doc_id, size, source_size, target, taken.
 
     taken is the number of the row's words in the mix, repeats counted: whole epochs of its source,
     and the rest of the budget by hash-random key, the row at the cut giving only its first words.
     The words taken of a source are its target, rounded. Null sources are one source of their own.
-    Rows repeating a doc_id each count; equal ones are alike, so their order has no effect. Rows
-    without words take 0. An empty table gives an empty mix; other columns are ignored.
+    Rows that share a doc_id, with equal texts or not, and rows without one each count by themselves;
+    rows that tie in their key go by doc_id, size and row. Rows with a null, empty or blank text take 0.
+    Very long texts are counted whole. An empty table gives an empty mix; other columns are ignored,
+    whatever their names.
     """
-    return _mix(docs.withColumn(ROW, F.lit(0).cast("long")), ranges).drop(ROW)
+    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text")
+    return _mix(with_rows(cols), ranges).drop(ROW)
 
 
-def _mix(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
+def _mix(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """mix() of docs with ROW, which stays beside doc_id."""
-    sized = cut(sizes(docs).withColumn("key", _key(F.col("doc_id"))).withColumn("range", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * ranges / F.lit(2**32)))
-    sized = sized.withColumn("range", F.floor("range").cast("int"))
+    sized = cut(sizes(docs).withColumn("key", _key(F.col("doc_id"), F.col(ROW))))
+    ranges = ranges or max(RANGES, -(-sized.count() // RANGE_ROWS))
+    sized = sized.withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * ranges / F.lit(2**32)).cast("int"))
     slices = cut(sized.groupBy("source", "range").agg(F.sum("size").alias("slice")))
-    targets = source_targets(slices.groupBy("source").agg(F.sum("slice").alias("source_size")))
+    targets = small(cut(source_targets(slices.groupBy("source").agg(F.sum("slice").alias("source_size")))))
     ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("ahead", F.coalesce(F.sum("slice").over(ahead), F.lit(0))).alias("s")
-    slices = slices.join(F.broadcast(targets.alias("t")), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
+    slices = slices.join(targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
         F.col("s.source").alias("of"), F.col("range").alias("in_range"), "ahead", "source_size", "target"
     )
     inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size", ROW).rowsBetween(Window.unboundedPreceding, -1)
@@ -122,7 +129,9 @@ def mixed_docs(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of docs once per time it is taken, all columns kept.
 
     The row at a source's cut is given with its first words only (n_chars follows, where there is
-    such a column). Rows not taken, and rows without words, are left out.
+    such a column). Rows not taken, and rows with a null, empty or blank text, are left out. Rows are
+    taken by themselves, not by their doc_id; ties and very long texts are as in mix(). An empty table
+    stays empty; further columns may have any names.
     """
     bounded_batches(docs.sparkSession)
     own = with_rows(docs)

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,8 +25,10 @@ from lodeframe.llm.textkit import held, utf8
 CAPACITY, END_ID, VOCABULARY = 2048, 0, "word_bpe_49k.json"
 #: Pieces of one length that one task ranks.
 SALT_ROWS = 50_000
-#: Words remembered by each of the two generations of a worker's cache.
-WORDS = 200_000
+#: Words remembered by each of the two generations of a worker's cache, and bytes of them.
+WORDS, WORD_BYTES = 200_000, 16 << 20
+#: A sum of three lengths that can be used up so often is taken without looking for one that can be used more often.
+ENOUGH = 64
 #: Words that lower-casing and composing leave alone, and that are one run of letters.
 LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 PROBES = ("the", "hello", "internationalization", "zzqx", "naïve", "straße", "éclair", "ß", "ÿ", "ångström", "doppelgängerin")
@@ -47,6 +50,7 @@ class WordIds(dict):
         tokenizer = Tokenizer.from_file(path)
         self.encode, self.model = tokenizer.encode, tokenizer.model
         self.before: dict[bytes, bytes] = {}
+        self.size = 0
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         #: The character that stands for each byte in a byte-level vocabulary.
@@ -65,9 +69,11 @@ class WordIds(dict):
         return np.array(ids, "<u4").tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= WORDS:
+        if len(self) >= WORDS or self.size > WORD_BYTES:
             self.before = dict(self)
             self.clear()
+            self.size = 0
+        self.size += len(word)
         ids = self.before.get(word)
         if ids is None:
             tail = TAIL.search(word)
@@ -112,7 +118,9 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 class Plan:
     """Sequences by pattern: runs of (length, pieces in a row), each pattern used `times` times."""
 
-    def __init__(self) -> None:
+    def __init__(self, complements: int = 0) -> None:
+        #: Lengths that the exact sums looked for have at most; 0 is best fit alone.
+        self.complements = complements
         self.sequences = 0
         self.used: dict[int, int] = defaultdict(int)
         #: per length: (first rank, first sequence, offset, pieces in a row)
@@ -156,7 +164,7 @@ def _triples(n: np.ndarray, gap: int) -> tuple[int, tuple[int, ...]]:
             m = int(min(n[a] // uses, min(n[x] // (pair + (int(a),)).count(x) for x in pair)))
             if m > best:
                 best, found = m, (int(a), *pair)
-        if best >= 64:
+        if best >= ENOUGH:
             break
     return best, found
 
@@ -168,7 +176,8 @@ def make_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """The plan for so many pieces of each length, with the fewest sequences of those tried.
 
     Few pieces can be worse off with exact fillings that use up the small ones, so plans that look
-    for sums of up to three, two, one and no other lengths are compared; it takes a histogram each.
+    for sums of up to three, two, one and no other lengths are compared; it takes a histogram each. Of
+    equally good ones the one with the longest sums is used; plan.complements tells which it was.
     """
     plans = [_plan(counts, capacity, COMPLEMENTS[:k]) for k in range(len(COMPLEMENTS), -1, -1)]
     return min(plans, key=lambda p: p.sequences)
@@ -183,7 +192,7 @@ def _plan(counts: dict[int, int], capacity: int, looks: tuple) -> Plan:
     n = np.zeros(capacity + 1, np.int64)
     for length, c in counts.items():
         n[length] = c
-    plan, rest = Plan(), {}
+    plan, rest = Plan(len(looks)), {}
     if n[capacity]:
         plan.add(((capacity, 1),), int(n[capacity]))
     for length in range(capacity - 1, 0, -1):
@@ -234,7 +243,8 @@ def _best_fit(rest: dict[int, int], capacity: int, plan: Plan) -> None:
             plan.add(runs, times)
 
 
-def _placed(segments: dict[int, np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _placed(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    segments = sent.value
     for b in batches:
         length, rank = b["length"].to_numpy(), b["rank"].to_numpy()
         sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
@@ -253,15 +263,18 @@ def _placed(segments: dict[int, np.ndarray], batches: Iterator[pa.RecordBatch])
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece of docs (doc_id, text): doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    path: the tokenizer's file. Null text counts as empty and gives a piece of the end id alone.
-    Documents of up to capacity ids stay whole. Rows repeating a doc_id are packed each on its own.
-    An empty table gives an empty result; other columns are ignored.
+    path: the tokenizer's file. Null and empty texts give a piece of the end id alone. Documents of up
+    to capacity ids stay whole; very long ones are cut. Rows that share a doc_id, with equal texts or
+    not, and rows without one are packed each on its own; pieces of one length go by doc_id, piece and
+    ids, and those that tie are alike. An empty table gives an empty result; other columns are
+    ignored, whatever their names. The plan that goes to every task has a bounded size: each of its
+    steps uses up one of `capacity` lengths or closes bins of one kind, whatever the number of pieces.
     """
     parts = cut(pieces(docs, path, capacity))
     # at most `capacity` rows
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = make_plan(counts, capacity)
-    segments = {length: np.array(s, np.int64) for length, s in plan.segments.items()}
+    sent = docs.sparkSession.sparkContext.broadcast({length: np.array(s, np.int64) for length, s in plan.segments.items()})
     salts = F.array(*(F.lit(-(-counts.get(x, 0) // SALT_ROWS) or 1) for x in range(capacity + 1)))
     parts = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.get(salts, F.col("length").cast("int"))).cast("int"))
     ahead = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -272,6 +285,6 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     ranked = parts.withColumn("own", F.row_number().over(own) - 1).join(before, (F.col("length") == F.col("of")) & (F.col("salt") == F.col("with")))
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("own") + F.col("ahead")).cast("long").alias("rank"))
     return ranked.mapInArrow(
-        lambda batches: _placed(segments, batches),
+        lambda batches: _placed(sent, batches),
         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
     )

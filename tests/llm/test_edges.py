@@ -90,3 +90,25 @@ def test_pipeline(spark, tmp_path):
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(words(r["text"]))
     assert got == {k: v for k, v in taken.items() if v}
     assert corpus_pipeline.run(spark, str(tmp_path)).agg(F.sum("length")).first()[0] > 0
+
+
+def test_pipeline_on_nothing_and_on_odd_rows(spark, tmp_path):
+    docs(spark, []).write.parquet(str(tmp_path / "none/documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    import random
+
+    r = random.Random(4)
+    text = lambda n: " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 9))) for _ in range(n))
+    long = text(40_000)
+    rows = [(None, text(90)), (None, text(90)), (5, text(90)), (5, text(90)), (6, long), (7, long), (8, None), (9, "")]
+    docs(spark, rows).write.parquet(str(tmp_path / "odd/documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    assert {x["doc_id"] for x in got} == {None, 5, 6} and len({(x["doc_id"], x["piece"], x["ids_crc32"]) for x in got if x["piece"] == 0}) == 5
+    for name, f in corpus_pipeline.STAGES:
+        assert "empty" in f.__doc__ and "null" in f.__doc__.lower() and "long" in f.__doc__, name
+
+
+def test_mix_spreads_rows_without_an_id(spark):
+    rows = [(None, "w " * (k % 5 + 1) + str(k), "a") for k in range(300)] + [(k, "v " * 3, "b") for k in range(40)]
+    one, many = (sorted((x["doc_id"] or -1, x["size"], x["taken"]) for x in mix(docs(spark, rows), ranges=n).collect()) for n in (1, 500))
+    assert one == many
