@@ -284,8 +284,8 @@ def name_similarity(a: Col, b: Col) -> Column:
         s = F.trim(F.lower(col(c)))
         for word in C.SITE_SUFFIXES:
             s = F.replace(s, F.lit(word), F.lit(""))
-        for word in C.SITE_PREFIXES:
-            s = F.when(s.startswith(word), F.substring(s, F.lit(len(word) + 1), F.length(s))).otherwise(s)
+        for word in C.SITE_PREFIXES:  # each names s once, so the expression grows by one step per prefix
+            s = F.regexp_replace(s, f"^{word}", "")
         return F.trim(s)
 
     x, y = clean(a), clean(b)

@@ -94,21 +94,12 @@ def agreement(pct: Col, below: float = 20.0) -> Column:
     return F.coalesce(F.avg(F.when(col(pct) < below, 1.0).when(col(pct).isNotNull(), 0.0)) * 100, F.lit(0.0))
 
 
-def descriptive(value: Col) -> dict[str, Column]:
-    """n, mean, median, population deviation, and quartiles taken by index (least and largest up to four values)."""
+def distances(value: Col, accuracy: int | None = None) -> dict[str, Column]:
+    """Count, spread and percentiles. One exact percentile of all fractions; with accuracy, an approximate one of bounded memory."""
     v = col(value)
-    ordered = F.array_sort(F.collect_list(v))  # a statistic of one report group
-    n = F.count(v)
-    at = lambda k: F.get(ordered, k.cast("int"))
-    return {
-        "n": n, "mean": F.avg(v), "median": F.median(v), "std": F.stddev_pop(v), "least": F.min(v), "largest": F.max(v),
-        "q1": F.when(n > 4, at(F.floor(n / 4))).otherwise(F.min(v)), "q3": F.when(n > 4, at(F.floor(n * 3 / 4))).otherwise(F.max(v)),
-    }
-
-
-def distances(value: Col) -> dict[str, Column]:
-    v = col(value)
-    q = lambda p: F.percentile(v, F.lit(p))
+    fractions = F.array(*map(F.lit, (0.10, 0.25, 0.50, 0.75, 0.90)))
+    every = F.percentile_approx(v, fractions, accuracy) if accuracy else F.percentile(v, fractions)
+    q = lambda p: every[{0.10: 0, 0.25: 1, 0.50: 2, 0.75: 3, 0.90: 4}[p]]
     return {
         "n": F.count(v), "least": F.min(v), "p10": q(0.10), "p25": q(0.25), "median": q(0.50), "p75": q(0.75), "p90": q(0.90), "largest": F.max(v), "mean": F.avg(v),
         "std": F.stddev_samp(v), "iqr": q(0.75) - q(0.25),

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeframe.functions import stats as S
 from lodeframe.functions.config import TIER_WEIGHTS
 from lodeframe.functions.scalars import company_tier_contains
-from lodeframe.operators.spatial import nearest
+from lodeframe.operators.spatial import FEW, nearest
 
 
 def columns(named: dict) -> list:
@@ -51,20 +51,54 @@ def tier_weighted_mape(pairs: DataFrame, company: str, a: str, b: str) -> DataFr
     return each.select(*((F.col(t) * 100).alias(t) for t in TIER_WEIGHTS)).withColumn("weighted_mape", S.tier_weighted(list(TIER_WEIGHTS.items())))
 
 
-def bootstrap(pairs: DataFrame, value: str, key: str = "id", resamples: int = 1000, seed: int = 42) -> DataFrame:
-    """Mean and 95 % interval of a value by seeded resampling.
+def _ranked(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Values with their place and number in the group: sorted where a sort may spill, not gathered."""
+    group = Window.partitionBy(*by)
+    return df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("__v")).withColumns({"__i": F.row_number().over(group.orderBy("__v")), "__n": F.count("*").over(group)})
 
-    Each row's number of draws per resample is Poisson(1) from a hash of its key, so resamples
-    need neither a sort nor an exchange of rows; sums per resample are aggregated map-side.
-    """
-    u = (F.pmod(F.xxhash64(key, "b", F.lit(seed)), F.lit(2**52)) + 0.5) / float(2**52)
+
+def descriptive(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """n, mean, median, population deviation, least, largest, and quartiles taken by index (least and largest up to four values) per group."""
+    i, n, v = F.col("__i"), F.col("__n"), F.col("__v")
+    at = lambda k: F.max(F.when(i == k, v))
+    out = _ranked(df, value, by).groupBy(*by).agg(
+        F.count("*").alias("n"), F.avg(v).alias("mean"), F.avg(F.when((i == F.floor((n + 1) / 2)) | (i == F.floor(n / 2) + 1), v)).alias("median"), F.stddev_pop(v).alias("std"),
+        F.min(v).alias("least"), F.max(v).alias("largest"), at(F.floor(n / 4) + 1).alias("__q1"), at(F.floor(n * 3 / 4) + 1).alias("__q3"),
+    )
+    few = F.col("n") <= 4
+    return out.withColumns({"q1": F.when(few, F.col("least")).otherwise(F.col("__q1")), "q3": F.when(few, F.col("largest")).otherwise(F.col("__q3"))}).drop("__q1", "__q3")
+
+
+#: Blocks of rows that a resample draws as a whole: its cost is this times the resamples, whatever the number of rows.
+BLOCKS = 1024
+
+
+def uniform(*parts) -> Column:
+    """A number in (0, 1) from the MD5 of parts joined by colons: the same in every engine."""
+    return (F.conv(F.substring(F.md5(F.concat_ws(":", *(p.cast("string") for p in parts))), 1, 8), 16, 10).cast("double") + 0.5) / float(2**32)
+
+
+def poisson(u: Column) -> Column:
+    """Number of draws with mean 1 for a uniform number; up to 12, beyond which there is no number of 32 bits."""
     bound, p, times = 0.0, 2.718281828459045**-1, F.lit(0)
-    for k in range(1, 8):
+    for k in range(1, 13):
         bound += p
         p /= k
         times = times + (u > bound).cast("int")
-    drawn = pairs.filter(F.col(value).isNotNull()).select(key, value).withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn("n", times)
-    means = drawn.groupBy("b").agg((F.sum(F.col(value) * F.col("n")) / F.sum("n")).alias("m"))
+    return times
+
+
+def bootstrap(pairs: DataFrame, value: str, key: str = "id", resamples: int = 1000, seed: int = 42) -> DataFrame:
+    """Mean and 95 % interval of a value by seeded resampling.
+
+    Rows fall into blocks by a hash of their key; a resample draws each block a Poisson(1) number of
+    times, from a hash of block and resample. One aggregation of the rows is all that grows with them.
+    """
+    rows = pairs.filter(F.col(value).isNotNull())
+    block = F.floor(uniform(F.col(key), F.lit("row"), F.lit(seed)) * BLOCKS).cast("int")
+    blocks = rows.groupBy(block.alias("block")).agg(F.sum(value).alias("s"), F.count("*").alias("c"))
+    drawn = blocks.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn("n", poisson(uniform(F.col("block"), F.col("b"), F.lit(seed))))
+    means = drawn.groupBy("b").agg((F.sum(F.col("s") * F.col("n")) / F.nullif(F.sum(F.col("c") * F.col("n")), F.lit(0))).alias("m"))
     return means.agg(F.avg("m").alias("mean"), F.percentile("m", F.lit(0.025)).alias("low"), F.percentile("m", F.lit(0.975)).alias("high"))
 
 
@@ -90,16 +124,24 @@ def spatial_accuracy(truth: DataFrame, rows: DataFrame, metres: float = 50_000.0
 
 
 def regional_recall(truth: DataFrame, near: DataFrame, region: str = "region") -> DataFrame:
-    """Per region and source: distinct truth rows, found ones, recall, median. Every pair appears."""
+    """Per value of a column (region, build status) and source: distinct truth rows, found ones, recall, distances and their median deviation. Every pair appears."""
     total = truth.groupBy(region).agg(F.countDistinct("id").alias("total"))
-    spine = total.crossJoin(F.broadcast(near.select("source").distinct()))  # regions and sources are short lists
-    found = near.groupBy(region, "source").agg(F.countDistinct("id").alias("found"), F.median("distance_m").alias("median"), F.avg("distance_m").alias("mean"), F.min("distance_m").alias("least"), F.max("distance_m").alias("largest"))
-    return spine.join(found, [region, "source"], "left").fillna(0, ["found"]).withColumn("recall", F.round(100 * F.col("found") / F.col("total"), 1))
+    sources = near.select("source").distinct()
+    # every value beside every source: both come from aggregates, and the one sent to all tasks is checked
+    spine = total.crossJoin(F.broadcast(sources) if sources.limit(FEW + 1).count() <= FEW else sources)
+    by = [region, "source"]
+    found = near.groupBy(*by).agg(F.countDistinct("id").alias("found"), F.median("distance_m").alias("median"), F.avg("distance_m").alias("mean"), F.min("distance_m").alias("least"), F.max("distance_m").alias("largest"))
+    off = near.join(found.select(*by, "median"), by).groupBy(*by).agg(F.median(F.abs(F.col("distance_m") - F.col("median"))).alias("mad"))
+    out = spine.join(found, by, "left").join(off, by, "left").fillna(0, ["found"])
+    return out.withColumn("recall", F.round(100 * F.col("found") / F.col("total"), 1))
 
 
-def worst(df: DataFrame, by: str, value: str, tie: str, n: int = 25) -> DataFrame:
-    from pyspark.sql import Window
+def top_conflicts(pairs: DataFrame, delta: str, tie: str, n: int = 25) -> DataFrame:
+    """The n pairs with the largest absolute difference."""
+    return pairs.orderBy(F.abs(delta).desc_nulls_last(), tie).limit(n)
 
+
+def worst(df: DataFrame, by: str, value: str, tie: str, n: int = 25) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc(value), tie))).filter(F.col("rank") <= n)
 
 

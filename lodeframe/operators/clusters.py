@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from lodeframe.functions import config as C
 from lodeframe.functions.scalars import company_code, slug_upper, without_company
-from lodeframe.operators.components import connected_components
-from lodeframe.operators.spatial import self_pairs
+from lodeframe.operators.components import checkpointed, connected_components
+from lodeframe.operators.spatial import band_join, close_cell
 
 
 def proximity_clusters(df: DataFrame, metres: float = C.TIGHT_M, block: str = "company_clean") -> DataFrame:
@@ -16,12 +16,17 @@ def proximity_clusters(df: DataFrame, metres: float = C.TIGHT_M, block: str = "c
 
     Rows with a null or zero coordinate, or without a block value, have no cluster.
     """
-    usable = df.filter((F.col("latitude") != 0) & (F.col("longitude") != 0) & F.col(block).isNotNull())
-    pairs = self_pairs(usable.select("id", block, "latitude", "longitude"), metres, [block])
-    labels = connected_components(pairs.select(F.col("left_id").alias("src"), F.col("right_id").alias("dst")))
-    out = df.join(labels, F.col("id") == F.col("node"), "left").drop("node")
-    alone = (F.col("latitude") != 0) & (F.col("longitude") != 0) & F.col(block).isNotNull()
-    return out.withColumn("cluster", F.when(alone, F.coalesce("component", "id"))).drop("component")
+    place = (F.col("latitude") != 0) & (F.col("longitude") != 0) & F.col(block).isNotNull()
+    # rows of a block in one cell are within metres of each other: they are one node, named by their least id, without any pairs
+    placed = df.filter(place).withColumn("__cell", close_cell(metres))
+    nodes = checkpointed(placed.groupBy(block, "__cell", "latitude", "longitude").agg(F.min("id").alias("id")))
+    names = nodes.groupBy(block, "__cell").agg(F.min("id").alias("__node"))
+    # of other pairs only places count, not rows, and only whether two cells meet
+    named = checkpointed(nodes.join(names, [block, "__cell"]).select("id", block, "latitude", "longitude", "__node"))
+    pairs = band_join(named, named, metres, [block]).filter(F.col("left___node") < F.col("right___node"))
+    labels = connected_components(pairs.select(F.col("left___node").alias("src"), F.col("right___node").alias("dst")).distinct())
+    out = df.withColumn("__cell", F.when(place, close_cell(metres))).join(names, [block, "__cell"], "left").join(labels, F.col("__node") == F.col("node"), "left")
+    return out.withColumn("cluster", F.coalesce("component", "__node")).select(*df.columns, "cluster")
 
 
 def modal(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -105,6 +110,12 @@ def confidence_tier(sources: Column, truth: str = C.TRUTH_SOURCE) -> Column:
     return F.when(F.array_contains(sources, truth), "VERIFIED").when(n >= 3, "HIGH").when(n == 2, "MEDIUM").otherwise("LOW")
 
 
+def confidence_distribution(campuses: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Campuses, capacity and buildings by confidence tier, and by further columns. campuses: sources (array), full_capacity_mw, building_count."""
+    tier = confidence_tier(F.col("sources")).alias("tier")
+    return campuses.groupBy(*(by or []), tier).agg(F.count("*").alias("campuses"), F.sum("full_capacity_mw").alias("mw"), F.sum("building_count").alias("buildings"))
+
+
 def native_cluster(company: str, city: str, cluster: str) -> Column:
     return F.lower(F.concat_ws("|", company, city, cluster))
 

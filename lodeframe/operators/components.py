@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 def checkpointed(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodeframe-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and sc.master.split("[")[0] != "local":
+            raise RuntimeError("a cluster must name a shared folder in spark.checkpoint.dir")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lodeframe-"))
     return df.checkpoint(eager=True)
 
 

@@ -90,6 +90,13 @@ def consensus(rows: DataFrame, as_of: str, fields: Sequence[str] = ("company_cle
     return out.select("ucid", F.col("geo.latitude").alias("latitude"), F.col("geo.longitude").alias("longitude"), F.col("geo.source").alias("geometry_source"), *named, *rest)
 
 
+def representative(rows: DataFrame, attributes: Sequence[str] = ("campus_name", "company_clean", "company_clean_filter", "region", "country", "state_abbr", "city")) -> DataFrame:
+    """Per campus the identity of one record, all from the same row: of the source first by place, unknown ones last, then by name."""
+    have = [c for c in attributes if c in rows.columns]
+    order = F.struct(priority(F.col("source"), C.FIELD_AUTHORITY["latitude"]).alias("p"), F.col("source").alias("s"))
+    return rows.groupBy("ucid").agg(F.min_by(F.struct(*have, F.col("source").alias("identity_source")), order).alias("r")).select("ucid", "r.*")
+
+
 def consensus_checks(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), (F.count("*") - F.countDistinct("ucid")).alias("repeated_ucids"), F.max(F.length("source_details_json")).alias("longest_details"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,28 +11,33 @@ from pyspark.sql import functions as F
 from lodeframe.functions import config as C
 from lodeframe.functions.scalars import alias_company, fuzzy_score, intake_company, token_similarity
 from lodeframe.operators.components import checkpointed
-from lodeframe.operators.spatial import band_join
+from lodeframe.operators.spatial import FEW, band_join
 
 
-def greedy_match(pairs: DataFrame, left: str = "left_id", right: str = "right_id", by: str = "distance_m", max_rounds: int = 1000) -> DataFrame:
+def greedy_match(pairs: DataFrame, left: str = "left_id", right: str = "right_id", by: str = "distance_m", max_rounds: int | None = None) -> DataFrame:
     """One-to-one matches as if pairs were taken in the order (by, left, right) while both ends are free.
 
     Pairs that rank first on both sides are exactly those that the ordered pass takes before any
     other pair of theirs; they are taken together, their ends removed, and so on until none is left.
+    Every round takes a pair at least, so there are no more rounds than pairs; with max_rounds, a
+    match that is not complete by then raises.
     """
     order = F.struct(by, left, right)
-    taken, left_over = [], checkpointed(pairs)
-    for _ in range(max_rounds):
+    left_over = checkpointed(pairs)
+    most = left_over.count() if max_rounds is None else max_rounds
+    out, new = checkpointed(left_over.limit(0)), []
+    for taken in range(most + 1):
         a, b = left_over.groupBy(left).agg(F.min(order).alias("__a")), left_over.groupBy(right).agg(F.min(order).alias("__b"))
         now = checkpointed(left_over.join(a, left).join(b, right).filter((F.col("__a") == order) & (F.col("__b") == order)).select(*pairs.columns))
         if now.isEmpty():
             break
-        taken.append(now)
+        if taken == most:
+            raise RuntimeError(f"greedy matching is not complete after {most} rounds")
+        new.append(now)
+        if len(new) == 16:  # one table instead of a union that grows with the rounds
+            out, new = checkpointed(reduce(DataFrame.unionByName, [out, *new])), []
         left_over = checkpointed(left_over.join(now.select(left), left, "left_anti").join(now.select(right), right, "left_anti"))
-    out = taken[0] if taken else pairs.limit(0)
-    for t in taken[1:]:
-        out = out.unionByName(t)
-    return out
+    return reduce(DataFrame.unionByName, [out, *new])
 
 
 def spatial_match(left: DataFrame, right: DataFrame, metres: float = 500.0, company: str | None = None) -> DataFrame:
@@ -123,10 +129,11 @@ def staged_look_up(keys: DataFrame, table: DataFrame, key: str, name: str, value
     """value for each key by exact name, then ignoring case, then the first name (least value) that begins with it."""
     exact = table.groupBy(F.col(name).alias(key)).agg(F.min(value).alias("__exact"))
     lower = table.groupBy(F.lower(name).alias("__lower")).agg(F.min(value).alias("__folded"))
-    # names are looked up under each of their beginnings that is as long as a key can be
-    lengths = keys.select(F.length(key).alias("n")).distinct()
-    starts = table.withColumn("__l", F.lower(name)).join(F.broadcast(lengths.filter("n <= 256")), F.length("__l") >= F.col("n"))
-    starts = starts.groupBy(F.substring("__l", F.lit(1), F.col("n")).alias("__start")).agg(F.min_by(value, F.struct("__l", value)).alias("__begun"))
+    # names are looked up under their beginnings of the lengths that keys have; one row holds the lengths
+    lengths = keys.agg(F.collect_set(F.length(key)).alias("__lengths"))
+    begun = F.transform(F.filter("__lengths", lambda n: n <= F.length("__l")), lambda n: F.substring(F.col("__l"), F.lit(1), n))
+    starts = table.withColumn("__l", F.lower(name)).crossJoin(F.broadcast(lengths)).withColumn("__start", F.explode(begun))
+    starts = starts.groupBy("__start").agg(F.min_by(value, F.struct("__l", value)).alias("__begun"))
     out = keys.join(exact, key, "left").withColumn("__lower", F.lower(key)).join(lower, "__lower", "left").join(starts, F.col("__lower") == F.col("__start"), "left")
     stage = F.when(F.col("__exact").isNotNull(), "exact").when(F.col("__folded").isNotNull(), "folded").when(F.col("__begun").isNotNull(), "prefix")
     return out.select(*keys.columns, F.coalesce("__exact", "__folded", "__begun").alias(value), stage.alias("stage"))
@@ -141,22 +148,38 @@ def cascade(candidates: Sequence[tuple[int, DataFrame]], key: str = "id", value:
     return out.groupBy(key).agg(F.min(F.struct("rank", value)).alias("m")).select(key, "m.*")
 
 
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
+    """All distinct parts of the given sizes."""
+    of = lambda k: F.when(F.length(text) >= k, F.transform(F.sequence(F.lit(1), F.length(text) - k + 1), lambda i: F.substring(text, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(*(of(k) for k in sizes)))
+
+
+def _holding(long: DataFrame, text: str, short: DataFrame, part: str, gram: int = 3) -> DataFrame:
+    """Pairs in which text of long contains part of short (not blank): an equi-join on the part's first letters, then the exact test."""
+    short = short.filter(F.length(part) > 0).withColumn("__gram", F.substring(F.col(part), 1, gram))
+    sizes = sorted(r[0] for r in short.select(F.length("__gram")).distinct().collect())  # gram numbers at most
+    if not sizes:
+        return long.crossJoin(short).limit(0)
+    return long.withColumn("__gram", F.explode(_grams(F.col(text), sizes))).join(short, "__gram").filter(F.col(text).contains(F.col(part))).drop("__gram")
+
+
 def priority_sites(sites: DataFrame, campuses: DataFrame) -> DataFrame:
-    """Campus per priority site: by id, exact name, part of the name, keyword, company with keyword.
+    """Campus per priority site: by id, exact name, part of the name, keyword, company with keyword; of equal rank the least id.
 
     sites: id, candidate_ids (array), cluster, company, keyword; campuses: id, source_id, campus_name, company.
-    Sites are a short curated list, so they go to every task once their number is checked.
+    Each test is an equi-join, on an id, a name, a company or the first letters of what must be contained; blank names and keywords match nothing.
     """
-    few = sites.limit(10_001).count() <= 10_000
-    s = F.broadcast(sites.select(*(F.col(c).alias(f"s_{c}") for c in sites.columns))) if few else sites.select(*(F.col(c).alias(f"s_{c}") for c in sites.columns))
-    name, own, word = F.lower("campus_name"), F.lower("s_cluster"), F.lower("s_keyword")
-    tests: list[Column] = [
-        F.array_contains("s_candidate_ids", F.col("source_id")), name == own, name.contains(own) | own.contains(name),
-        (F.length(word) > 3) & name.contains(word), (F.length(word) > 3) & (F.lower("company") == F.lower("s_company")) & F.lower("source_id").contains(word),
+    s = sites.select(F.col("id").alias("s_id"), "candidate_ids", F.lower("cluster").alias("own"), F.lower("company").alias("s_company"), F.lower("keyword").alias("word"))
+    c = campuses.select(F.col("id").alias("match"), "source_id", F.lower("source_id").alias("low_id"), F.lower("campus_name").alias("name"), F.lower("company").alias("c_company"))
+    worded = s.filter(F.length("word") > 3)
+    tests = [
+        s.select("s_id", F.explode("candidate_ids").alias("source_id")).join(c, "source_id"),
+        s.filter("own <> ''").join(c, F.col("own") == F.col("name")),
+        _holding(c, "name", s, "own").select("s_id", "match").unionByName(_holding(s, "own", c, "name").select("s_id", "match")),
+        _holding(c, "name", worded, "word"),
+        worded.join(c, F.col("s_company") == F.col("c_company")).filter(F.col("low_id").contains(F.col("word"))),
     ]
-    rank = F.coalesce(*(F.when(t, F.lit(i + 1)) for i, t in enumerate(tests)))
-    hits = campuses.join(s, rank.isNotNull()).withColumn("rank", rank)
-    return hits.groupBy(F.col("s_id").alias("id")).agg(F.min(F.struct("rank", F.col("id").alias("match"))).alias("m")).select("id", "m.*")
+    return cascade([(k + 1, t.select(F.col("s_id").alias("id"), "match")) for k, t in enumerate(tests)])
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, numbers: dict[str, float], texts: Sequence[str] = ()) -> DataFrame:
@@ -183,6 +206,18 @@ def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "left_anti").withColumn("side", F.lit("left")).unionByName(b.join(a, key, "left_anti").withColumn("side", F.lit("right")))
 
 
+def in_set(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in ids; a short list goes to every task."""
+    ids = ids.select(key).distinct()
+    return df.join(F.broadcast(ids) if ids.limit(FEW + 1).count() <= FEW else ids, key, "left_semi")
+
+
+def key_sets(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """All distinct keys of both sides with the side they are on: left, right or both. One aggregate, no join."""
+    tag = left.select(key, F.lit(1).alias("s")).unionByName(right.select(key, F.lit(2).alias("s"))).filter(F.col(key).isNotNull())
+    return tag.groupBy(key).agg(F.min("s").alias("a"), F.max("s").alias("b")).select(key, F.when(F.col("a") < F.col("b"), "both").when(F.col("a") == 1, "left").otherwise("right").alias("side"))
+
+
 def mapped_keys(df: DataFrame, mapping: DataFrame, key: str, ids: str, value: str, separator: str = "; ") -> DataFrame:
     """df with value, from a table whose ids are joined lists of keys."""
     long = mapping.select(F.explode(F.split(ids, separator)).alias(key), value).groupBy(key).agg(F.min(value).alias(value))

@@ -49,11 +49,16 @@ def schema_diff(old: DataFrame, new: DataFrame) -> tuple[list[str], list[str]]:
 
 
 def known_issues(df: DataFrame) -> DataFrame:
-    """One row of counts: campuses with mixed sources, coordinates off their geometry, missing region, unknown level, state code without name."""
+    """One row of counts: campuses with mixed sources, missing region, unknown level, state code without name, coordinates off their geometry, rows without a place.
+
+    Coordinates are compared with gold_lat and gold_lon, where df has them.
+    """
+    off = F.greatest(F.abs(F.col("latitude") - F.col("gold_lat")), F.abs(F.col("longitude") - F.col("gold_lon"))) > 0.001 if {"gold_lat", "gold_lon"} <= set(df.columns) else F.lit(False)
     mixed = df.groupBy("ucid").agg(F.countDistinct("source").alias("n")).agg(F.count_if(F.col("n") > 1).alias("mixed_source_campuses"))
     rest = df.agg(
         F.count_if(F.col("country").isNotNull() & F.col("region").isNull()).alias("no_region"), F.count_if(~F.coalesce(F.col("record_level").isin("Building", "Campus"), F.lit(False))).alias("odd_level"),
-        F.count_if((F.length("state_abbr") == 2) & F.col("state").isNull()).alias("no_state_name"),
+        F.count_if((F.length("state_abbr") == 2) & F.col("state").isNull()).alias("no_state_name"), F.count_if(F.coalesce(off, F.lit(False))).alias("off_geometry"),
+        F.count_if(~F.coalesce((F.col("latitude") != 0) & (F.col("longitude") != 0), F.lit(False))).alias("unplaced"),
     )
     return mixed.crossJoin(rest)  # one row each
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeframe.functions.scalars import rank_status, status_rank
@@ -13,8 +13,8 @@ ORDER = ("source", "id")
 
 
 def first_of(column: str, order: Sequence[str] = ORDER) -> Column:
-    """Value of the first row in the given order, null or not."""
-    return F.min_by(F.struct(column), F.struct(*order))[column]
+    """Value of the first row in the given order, null or not; of rows that tie, the least value."""
+    return F.min_by(F.struct(column), F.struct(*order, column))[column]
 
 
 def first_filled(column: str, order: Sequence[str] = ORDER) -> Column:
@@ -43,19 +43,23 @@ def campus_rollup(buildings: DataFrame, key: str = "ucid") -> DataFrame:
     Columns that buildings lack are left out.
     """
     have = set(buildings.columns)
-    rows = buildings.filter(F.col(key).isNotNull())
-    aggs = [first_of(c).alias(c) for c in FIRST if c in have] + [F.sum(c).alias(c) for c in SUMS if c in have]
-    aggs += [F.min(status_rank("facility_status")).alias("__rank"), joined_set("source").alias("sources"), F.count("*").alias("building_count"), F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude")]
-    for c, how in (("actual_live_date", F.min), ("data_vintage", F.max), ("ingest_date", F.max), ("is_essential", F.max), ("cancelled", F.max), ("pue", F.avg)):
-        if c in have:
-            aggs.append(how(c).alias({"actual_live_date": "first_live_date", "pue": "pue_avg"}.get(c, c)))
-    out = rows.groupBy(key).agg(*aggs).withColumn("facility_status_agg", rank_status("__rank")).drop("__rank")
+    first, sums = [c for c in FIRST if c in have], [c for c in SUMS if c in have]
+    ends = {c: how for c, how in (("actual_live_date", F.min), ("data_vintage", F.max), ("ingest_date", F.max), ("is_essential", F.max), ("cancelled", F.max)) if c in have}
+    means = [c for c in ("latitude", "longitude", "pue") if c in have]
+    # by campus and source first, then by campus: one pass over the buildings gives the totals and those of each source
+    part = buildings.filter(F.col(key).isNotNull()).groupBy(key, "source").agg(
+        F.min(F.struct(*ORDER, *first)).alias("__first"), *(F.sum(c).alias(c) for c in sums), *(how(c).alias(c) for c, how in ends.items()),
+        *(x for c in means for x in (F.sum(c).alias(f"__{c}"), F.count(c).alias(f"__n_{c}"))), F.min(status_rank("facility_status")).alias("__rank"), F.count("*").alias("__rows"),
+    )
+    renamed = {"actual_live_date": "first_live_date", "pue": "pue_avg"}
+    aggs = [F.min("__first").alias("__first"), *(F.sum(c).alias(c) for c in sums), *(how(c).alias(renamed.get(c, c)) for c, how in ends.items())]
+    aggs += [(F.sum(f"__{c}") / F.nullif(F.sum(f"__n_{c}"), F.lit(0))).alias(renamed.get(c, c)) for c in means]
+    aggs += [rank_status(F.min("__rank")).alias("facility_status_agg"), joined_set("source").alias("sources"), F.sum("__rows").alias("building_count")]
+    if "full_capacity_mw" in have:
+        aggs.append(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("s"), F.col("full_capacity_mw").alias("mw"))))).alias("sources_mw"))
+    out = part.groupBy(key).agg(*aggs).withColumns({c: F.col(f"__first.{c}") for c in first}).drop("__first")
     if {"planned_power_mw", "uc_power_mw"} <= have:
         out = out.withColumn("planned_plus_uc_mw", sum_or_null("planned_power_mw", "uc_power_mw"))
-    if "full_capacity_mw" in have:
-        by_source = rows.groupBy(key, "source").agg(F.sum("full_capacity_mw").alias("mw"))
-        by_source = by_source.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("s"), "mw")))).alias("sources_mw"))
-        out = out.join(by_source, key)
     return out.withColumn("record_level", F.lit("Campus"))
 
 
@@ -114,6 +118,28 @@ def value_counts(df: DataFrame, column: str, top: int | None = None, null_label:
     return out.orderBy(F.desc("n"), column).limit(top) if top else out
 
 
+def top_values(df: DataFrame, column: str, n: int, *aggregates: Column) -> DataFrame:
+    """The n most frequent values, the smallest of equally frequent ones, with further aggregates."""
+    return df.groupBy(column).agg(F.count("*").alias("n"), *aggregates).orderBy(F.desc("n"), column).limit(n)
+
+
+def counts_by_each(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counts by each column alone, in one pass; the other columns are null."""
+    return df.groupingSets([[c] for c in columns], *columns).agg(F.count("*").alias("n"))
+
+
+def positive_coverage(df: DataFrame, fields: Sequence[str], by: str) -> DataFrame:
+    """Per group and field: rows, rows with a value above 0, and their sum. One scan."""
+    wide = df.groupBy(by).agg(F.count("*").alias("rows"), *(F.struct(F.lit(c).alias("field"), F.count_if(F.col(c) > 0).alias("n"), F.sum(F.when(F.col(c) > 0, F.col(c))).alias("mw")).alias(f"__{c}") for c in fields))
+    return wide.select(by, "rows", F.explode(F.array(*(F.col(f"__{c}") for c in fields))).alias("f")).select(by, "rows", "f.*")
+
+
+def campus_share(df: DataFrame, campus: str, value: str) -> DataFrame:
+    """Mean share of its campus' total that one building has, per campus: near 1, values are campus totals."""
+    total = Window.partitionBy(campus)
+    return df.withColumn("__total", F.sum(value).over(total)).groupBy(campus).agg(F.avg(F.col(value) / F.col("__total")).alias("share"))
+
+
 def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").withColumn("surplus", F.col("n") - 1)
 

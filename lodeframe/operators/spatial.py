@@ -10,16 +10,20 @@ split by the adaptive skew join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeframe.functions.config import EARTH_RADIUS_M
 from lodeframe.functions.scalars import haversine, planar_degrees
+from lodeframe.operators.components import checkpointed
 
 DEGREE_M = EARTH_RADIUS_M * 3.141592653589793 / 180
 #: Cells are this much wider than the radius, against rounding.
 SLACK = 1.0001
+#: Rows of a table that is sent to every task at most.
+FEW = 10_000
 
 
 def _columns(band: Column, size: float) -> Column:
@@ -70,6 +74,16 @@ def self_pairs(df: DataFrame, metres: float, block: Sequence[str] = ()) -> DataF
     return band_join(df, df, metres, block).filter("left_id < right_id")
 
 
+def close_cell(metres: float) -> Column:
+    """A cell of latitude and longitude in which any two points are within metres; null without a place."""
+    size = 0.7 * metres / DEGREE_M
+    band = F.floor(F.col("latitude") / size).cast("long")
+    # the cell is widest where the band is nearest the equator; 0.7 of the radius each way leaves the diagonal below it
+    low = F.least(F.abs(band), F.abs(band + 1)) * size
+    width = F.lit(size) / F.greatest(F.cos(F.radians(F.when((band == -1) | (band == 0), 0.0).otherwise(low))), F.lit(1e-6))
+    return F.struct(band.alias("band"), F.floor(F.col("longitude") / width).cast("long").alias("column"))
+
+
 def planar_join(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
     """Pairs within metres / 111000 degrees, measured in the plane of degrees."""
     degrees = metres / 111000.0
@@ -82,14 +96,47 @@ def planar_join(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
     return pairs.withColumn("distance_deg", planar_degrees("left_latitude", "left_longitude", "right_latitude", "right_longitude")).filter(F.col("distance_deg") <= degrees)
 
 
+#: First search radius, and how much wider each next ring is.
+FIRST_RING_M, RING_FACTOR = 100.0, 5.0
+
+
+def _best(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The nearest right row per value of `by`: an aggregate, so a row with very many neighbours is reduced before it is shuffled."""
+    return pairs.groupBy(*by).agg(F.min_by(F.struct(*pairs.columns), F.struct("distance_m", "right_id")).alias("best")).select("best.*")
+
+
+def _nearest_by_rings(left: DataFrame, right: DataFrame, metres: float, block: Sequence[str], per: Sequence[str]) -> DataFrame:
+    """Rows that find a neighbour within a ring are done, as all nearer ones lie in it too; the others look further out."""
+    names = {f"__per_{c}": c.removeprefix("right_") for c in per}
+    left, right = _sides(left, right)
+    columns = [*block, *(f"left_{c}" for c in left.columns if c not in block), *(f"right_{c}" for c in right.columns if c not in block), "distance_m"]
+    right = right.withColumns({n: F.col(c) for n, c in names.items()})
+    if per:  # one search per value; a null value finds nothing, as in a join
+        values = checkpointed(right.select(*names).dropna().distinct())
+        left = left.crossJoin(F.broadcast(values) if values.limit(FEW + 1).count() <= FEW else values)
+    rest, done, radius = checkpointed(left), [], min(FIRST_RING_M, metres)
+    while True:
+        found = checkpointed(_best(band_join(rest, right, radius, [*block, *names]), ["left_id", *names]))
+        done.append(found.select(*columns))
+        if radius >= metres:
+            break
+        keys = found.select(F.col("left_id").alias("id"), *names)
+        rest = checkpointed(rest.join(keys, ["id", *names], "left_anti"))
+        if rest.isEmpty():
+            break
+        radius = min(radius * RING_FACTOR, metres)
+    return reduce(DataFrame.unionByName, done)
+
+
 def nearest(left: DataFrame, right: DataFrame, metres: float, block: Sequence[str] = (), per: Sequence[str] = (), k: int = 1) -> DataFrame:
-    """The k nearest right rows of each left row (and each value of `per`), by distance, then right id."""
-    pairs = band_join(left, right, metres, block)
-    if k == 1:  # an aggregate: a left row with very many neighbours is reduced before it is shuffled
-        best = pairs.groupBy("left_id", *per).agg(F.min_by(F.struct(*pairs.columns), F.struct("distance_m", "right_id")).alias("best"))
-        return best.select("best.*").withColumn("rank", F.lit(1))
+    """The k nearest right rows of each left row (and each value of the right_ columns `per`), by distance, then right id.
+
+    One nearest row is searched in growing rings, so that a wide radius costs no more pairs than a row's near surroundings have.
+    """
+    if k == 1:
+        return _nearest_by_rings(left, right, metres, block, per).withColumn("rank", F.lit(1))
     order = Window.partitionBy("left_id", *per).orderBy("distance_m", "right_id")
-    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return band_join(left, right, metres, block).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def radius_search(df: DataFrame, lat: float, lon: float, metres: float, company: str | None = None, limit: int | None = 10) -> DataFrame:

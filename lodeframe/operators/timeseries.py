@@ -24,6 +24,12 @@ def weekly(df: DataFrame, at: str, value: str, as_of: str) -> DataFrame:
     return out.withColumn("change", F.col("this_week") - F.col("last_week"))
 
 
+def hours_by(df: DataFrame, at: str, value: str, kind: str, as_of: str) -> DataFrame:
+    """Sums per kind in the week of as_of; the week is a range, so that the scan can be pruned by it."""
+    first = F.date_trunc("week", F.lit(as_of).cast("timestamp"))
+    return df.filter((F.col(at) >= first) & (F.col(at) < first + F.expr("INTERVAL 7 DAYS"))).groupBy(kind).agg(F.sum(value).alias("hours"))
+
+
 def rolling_weeks(df: DataFrame, at: str, value: str, kind: str, kinds: Sequence[str], as_of: str, weeks: int = 8) -> DataFrame:
     """One row per week up to as_of and a column per kind, 0 in empty weeks."""
     last = F.date_trunc("week", F.lit(as_of).cast("timestamp")).cast("date")
@@ -48,6 +54,14 @@ def carried_forward(df: DataFrame, value: str, by: Sequence[str], order: Sequenc
     return df.withColumn(f"{value}_carried", F.last(value, ignorenulls=True).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def ranked(df: DataFrame, by: Sequence[str], value: str, tie: str, buckets: int = 4, near: float = 0.0) -> DataFrame:
+    """df with rank, dense rank, bucket, and the number of values within `near` below its own, per group."""
+    group = Window.partitionBy(*by)
+    down = group.orderBy(F.desc(value))
+    out = df.withColumns({"rank": F.rank().over(down), "dense_rank": F.dense_rank().over(down), "bucket": F.ntile(buckets).over(group.orderBy(F.desc(value), tie))})
+    return out.withColumn("near_below", F.count("*").over(group.orderBy(value).rangeBetween(-near, Window.currentRow)))
+
+
 def task_hours(tasks: DataFrame, log: DataFrame) -> DataFrame:
     """tasks with their hours; tasks without an id or title are left out."""
     real = tasks.filter((F.trim("task_id") != "") & (F.trim("title") != ""))
@@ -62,8 +76,8 @@ def active_tasks(tasks: DataFrame, n: int = 10) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, strata: Sequence[str], quotas: dict[tuple, int], key: str = "id", size: int | None = None, seed: int = 42) -> DataFrame:
-    """Up to the quota of each stratum by hashed key, filled up to size from the rest in hash order."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    """Up to the quota of each stratum in the order of the MD5 of key and seed, filled up to size from the rest in that order."""
+    h = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
     quota = F.lit(0)
     for values, q in quotas.items():
         quota = F.when(sum_all([F.col(c) == v for c, v in zip(strata, values)]), F.lit(q)).otherwise(quota)

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from lodeframe.functions import config as C
 from lodeframe.functions import stats
-from lodeframe.operators import accuracy, consensus, land, matching, quality, rollup, spatial, timeseries
-from lodeframe.plans.queries import AS_OF, BUILDINGS, TRUTH, WITH_B, buildings, dist, of_source, query, rounded, sql, table, truth
+from lodeframe.operators import accuracy, clusters, consensus, land, matching, quality, rollup, spatial, timeseries, validation
+from lodeframe.plans.queries import _GREEDY, AS_OF, BUILDINGS, TRUTH, WITH_B, buildings, dist, of_source, query, rounded, sql, table, truth
 from lodeframe.sources import adapters, sinks
 
 B = WITH_B.replace("RECURSIVE ", "")
@@ -39,11 +39,11 @@ def proj_02_lease(spark, sf):
     return adapters.lease(raw, AS_OF).select("unique_id", "owned_leased", "notes", "available_power_kw", "facility_status")
 
 
-@query(f"""{B} SELECT 'dcm_' || id AS unique_id, CASE WHEN id % 3 = 0 THEN (id % 50)::DOUBLE END AS commissioned_power_mw, CASE WHEN id % 3 = 1 THEN (id % 50)::DOUBLE END AS planned_power_mw, CASE WHEN id % 3 < 2 THEN (id % 50)::DOUBLE END AS full_capacity_mw,
-    CASE id % 3 WHEN 0 THEN 'Active' WHEN 1 THEN 'Land Acquisition' ELSE 'Cancelled' END AS facility_status, CASE WHEN id % 2 = 0 THEN 'Building' ELSE 'Campus' END AS record_level FROM b WHERE id % 50 <> 0""")
+@query(f"""{B} SELECT 'dcm_' || id AS unique_id, CASE WHEN id % 3 = 0 THEN nullif(id % 50, 0)::DOUBLE END AS commissioned_power_mw, CASE WHEN id % 3 = 1 THEN nullif(id % 50, 0)::DOUBLE END AS planned_power_mw, CASE WHEN id % 3 < 2 THEN nullif(id % 50, 0)::DOUBLE END AS full_capacity_mw,
+    CASE id % 3 WHEN 0 THEN 'Active' WHEN 1 THEN 'Land Acquisition' ELSE 'Cancelled' END AS facility_status, CASE WHEN id % 2 = 0 THEN 'Building' ELSE 'Campus' END AS record_level FROM b""")
 def proj_03_map(spark, sf):
     raw = _raw(spark, sf, id="id", name="CASE WHEN id % 2 = 0 THEN concat(campus_name, ' - Building 1') ELSE campus_name END", parent_id="0", company_name="company_clean", city="city", latitude="latitude", longitude="longitude", stage="CASE id % 3 WHEN 0 THEN 'Operational' WHEN 1 THEN 'Land Banked' ELSE 'Cancelled' END", power_mw="id % 50")
-    made = adapters.map_site(raw, AS_OF).filter(F.col("source_unique_id").cast("long") % 50 != 0)
+    made = adapters.map_site(raw, AS_OF)
     return made.select("unique_id", "commissioned_power_mw", "planned_power_mw", "full_capacity_mw", "facility_status", "record_level")
 
 
@@ -86,27 +86,30 @@ def set_06_multi_source(spark, sf):
 # --- joins
 
 
-@query(f"""{_SIDES}, p AS (SELECT l.id AS i FROM l JOIN r ON {dist('l', 'r')} <= 100) SELECT count(*) AS rows_left, count_if(id NOT IN (SELECT i FROM p))::BIGINT AS far FROM l""")
+@query(_SIDES.replace("WITH b", "WITH RECURSIVE b") + _GREEDY.format(d=dist("l", "r"), m=250, extra="").replace("SELECT a AS left_id, b AS right_id FROM g WHERE a IS NOT NULL", ", m AS (SELECT a, b FROM g WHERE a IS NOT NULL) SELECT 'pair' AS side, a AS id FROM m UNION ALL SELECT 'left', id FROM l WHERE id NOT IN (SELECT a FROM m) UNION ALL SELECT 'right', id FROM r WHERE id NOT IN (SELECT b FROM m)"))
 def join_16_left_only(spark, sf):
+    """Pairs, and the rows of either side without one, counted by matching the same sides in SQL."""
     b = buildings(spark, sf)
-    left, near = of_source(b, 1), spatial.band_join(of_source(b, 1), of_source(b, 2), 100.0).select(F.col("left_id").alias("id")).distinct()
-    return left.join(near.withColumn("hit", F.lit(1)), "id", "left").agg(F.count("*").alias("rows_left"), F.count_if(F.col("hit").isNull()).alias("far"))
+    found, left, right = matching.match_sides(of_source(b, 1), of_source(b, 2), 250.0)
+    row = lambda df, side, c: df.select(F.lit(side).alias("side"), F.col(c).alias("id"))
+    return row(found, "pair", "left_id").unionByName(row(left, "left", "id")).unionByName(row(right, "right", "id"))
 
 
 @query(f"""{B}, p AS (SELECT t.id AS i, b.id AS j, {dist('t', 'b')} AS d, CASE WHEN t.company_clean = b.company_clean THEN 100 ELSE 0 END AS s, t.region = b.region AS a FROM t JOIN b ON {dist('t', 'b')} <= 1000),
-    k AS (SELECT *, CASE WHEN d <= 250 AND s >= 95 THEN 2 WHEN d <= 500 AND s >= 85 THEN 3 WHEN a THEN 4 END AS tier FROM p)
+    k AS (SELECT *, CASE WHEN d <= 250 AND s >= 95 THEN 2 WHEN d <= 500 AND s >= 85 THEN 3 WHEN a THEN 4 END AS tier FROM p UNION ALL SELECT t.id, b.id, 0, 100, true, 1 FROM t JOIN b ON t.id = b.id AND t.id % 5 = 0)
     SELECT i AS left_id, tier::INT AS tier FROM k WHERE tier IS NOT NULL QUALIFY row_number() OVER (PARTITION BY i ORDER BY tier, s DESC, d, j) = 1""")
 def join_24_permit_tiers(spark, sf):
-    sites = truth(spark, sf).select("id", F.lit(None).cast("string").alias("permit_id"), F.col("company_clean").alias("developer"), "latitude", "longitude", F.col("region").alias("state_abbr"), F.lit("x").alias("county"))
-    permits = buildings(spark, sf).select("id", F.lit("p").alias("permit_id"), F.col("company_clean").alias("permit_holder"), "latitude", "longitude", F.col("region").alias("state"), F.lit("X").alias("county"))
-    exact = F.when(F.col("tier") == 0, F.lit(0)).otherwise(F.col("tier"))
-    return matching.permit_tiers(sites, permits).select("left_id", exact.alias("tier"))
+    sites = truth(spark, sf).select("id", F.when(F.col("id") % 5 == 0, F.concat(F.lit("p"), "id")).alias("permit_id"), F.col("company_clean").alias("developer"), "latitude", "longitude", F.col("region").alias("state_abbr"), F.lit("x").alias("county"))
+    permits = buildings(spark, sf).select("id", F.concat(F.lit("p"), "id").alias("permit_id"), F.col("company_clean").alias("permit_holder"), "latitude", "longitude", F.col("region").alias("state"), F.lit("X").alias("county"))
+    return matching.permit_tiers(sites, permits).select("left_id", "tier")
 
 
-@query("WITH m AS (SELECT o_orderkey, 'A; B; C' AS ids FROM orders WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders)), c AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' ELSE 'D' END AS k FROM customer) SELECT c_custkey, k, CASE WHEN k <> 'D' THEN 7 END::INT AS ucid FROM c")
+@query("SELECT c_custkey, c_custkey::VARCHAR AS k, min(s_suppkey) AS ucid FROM customer LEFT JOIN supplier ON c_custkey IN (s_suppkey, s_suppkey + 1, s_suppkey + 40) GROUP BY 1")
 def join_04_mapped_keys(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey", F.get(F.array(*map(F.lit, "ABCD")), (F.col("c_custkey") % 4).cast("int")).alias("k"))
-    return matching.mapped_keys(c, spark.createDataFrame([("A; B; C", 7)], "ids string, ucid int"), "k", "ids", "ucid").select("c_custkey", "k", "ucid")
+    """Every supplier's list of three keys, lists overlapping."""
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("k"))
+    lists = table(spark, sf, "supplier").select(F.concat_ws("; ", *((F.col("s_suppkey") + d).cast("string") for d in (0, 1, 40))).alias("ids"), F.col("s_suppkey").alias("ucid"))
+    return matching.mapped_keys(c, lists, "k", "ids", "ucid").select("c_custkey", "k", "ucid")
 
 
 @query("SELECT o_custkey AS id, CASE WHEN max(o_totalprice) > 400000 THEN 1 WHEN bool_or(o_orderstatus = 'P') THEN 2 ELSE 3 END::INT AS rank FROM orders GROUP BY 1")
@@ -124,36 +127,46 @@ def join_42_unmatched_last(spark, sf):
 # --- aggregates
 
 
-@query("SELECT l_orderkey AS building_key, count(*) AS suite_count, round(sum(l_quantity), 2) AS it_load_total, arg_min(l_returnflag, l_linenumber) AS new_build_status FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) = count(DISTINCT l_linenumber)) GROUP BY 1")
+@query("SELECT l_orderkey AS building_key, count(*) AS suite_count, round(sum(l_quantity), 2) AS it_load_total, arg_min(l_returnflag, struct_pack(n := l_linenumber, f := l_returnflag)) AS new_build_status FROM lineitem GROUP BY 1")
 def agg_07_suites(spark, sf):
-    li = table(spark, sf, "lineitem")
-    whole = li.groupBy("l_orderkey").agg((F.count("*") == F.countDistinct("l_linenumber")).alias("ok")).filter("ok").select("l_orderkey")
-    s = li.join(whole, "l_orderkey").select(F.col("l_orderkey").alias("building_key"), F.col("l_linenumber").alias("location_key"), F.lit("x").alias("dc_code"), F.lit("r").alias("region_derived"), F.col("l_returnflag").alias("new_build_status"), F.col("l_quantity").alias("it_load"), F.lit(1).alias("has_coordinates"))
+    s = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("building_key"), F.col("l_linenumber").alias("location_key"), F.lit("x").alias("dc_code"), F.lit("r").alias("region_derived"), F.col("l_returnflag").alias("new_build_status"), F.col("l_quantity").alias("it_load"), F.lit(1).alias("has_coordinates"))
     return rounded(rollup.suites_to_buildings(s).select("building_key", "suite_count", "it_load_total", "new_build_status"), "it_load_total", places=2)
 
 
-@query(f"""{B}, c AS (SELECT company_clean, CASE WHEN count(DISTINCT source) >= 3 THEN 'HIGH' ELSE 'LOW' END AS tier, sum(full_capacity_mw) AS mw FROM b GROUP BY 1) SELECT tier, count(*) AS campuses, round(sum(mw), 2) AS mw FROM c GROUP BY 1""")
+_CITY = f"""{B}, c AS (SELECT id % 97 AS cluster, min(company_clean) AS company_clean, min(region) AS region, list_sort(list(DISTINCT source)) AS sources, sum(full_capacity_mw) AS mw, count(*) AS n FROM b GROUP BY 1),
+    k AS (SELECT *, CASE WHEN list_contains(sources, 'Meta Canonical') THEN 'VERIFIED' WHEN len(sources) >= 3 THEN 'HIGH' WHEN len(sources) = 2 THEN 'MEDIUM' ELSE 'LOW' END AS tier FROM c)"""
+
+
+def campuses(spark, sf):
+    """97 groups of buildings as campuses with their sources."""
+    g = buildings(spark, sf).groupBy((F.col("id") % 97).alias("cluster"))
+    return g.agg(F.min("company_clean").alias("company_clean"), F.min("region").alias("region"), F.array_sort(F.collect_set("source")).alias("sources"), F.sum("full_capacity_mw").alias("full_capacity_mw"), F.count("*").alias("building_count"))
+
+
+@query(f"{_CITY} SELECT tier, count(*) AS campuses, round(sum(mw), 2) AS mw, sum(n)::BIGINT AS buildings FROM k GROUP BY 1")
 def agg_13_tiers(spark, sf):
-    c = buildings(spark, sf).groupBy("company_clean").agg(F.countDistinct("source").alias("n"), F.sum("full_capacity_mw").alias("mw"))
-    return c.groupBy(F.when(F.col("n") >= 3, "HIGH").otherwise("LOW").alias("tier")).agg(F.count("*").alias("campuses"), F.round(F.sum("mw"), 2).alias("mw"))
+    return rounded(clusters.confidence_distribution(campuses(spark, sf)), "mw", places=2)
+
+
+@query(f"{_CITY} SELECT region, tier, count(*) AS campuses, round(sum(mw), 2) AS mw, sum(n)::BIGINT AS buildings FROM k GROUP BY 1, 2")
+def agg_13_tiers_by_region(spark, sf):
+    return rounded(clusters.confidence_distribution(campuses(spark, sf), ["region"]), "mw", places=2)
 
 
 @query(f"{B} SELECT region, NULL AS company_clean, count(*) AS n FROM b GROUP BY region UNION ALL SELECT NULL, company_clean, count(*) FROM b GROUP BY company_clean")
 def agg_16_grouping_sets(spark, sf):
-    b = buildings(spark, sf)
-    return b.groupingSets([["region"], ["company_clean"]], "region", "company_clean").agg(F.count("*").alias("n"))
+    return rollup.counts_by_each(buildings(spark, sf), ["region", "company_clean"])
 
 
 @query(f"{B} SELECT ucid, count(DISTINCT source) AS sources FROM (SELECT id % 301 AS ucid, source FROM b) GROUP BY 1 HAVING count(DISTINCT source) > 1 ORDER BY 2 DESC, 1 LIMIT 10")
 def agg_40_cross_source(spark, sf):
-    c = buildings(spark, sf).groupBy((F.col("id") % 301).alias("ucid")).agg(F.countDistinct("source").alias("sources")).filter("sources > 1")
-    return c.orderBy(F.desc("sources"), "ucid").limit(10)
+    return validation.cross_source_ids(buildings(spark, sf).withColumn("ucid", F.col("id") % 301), top=10).select("ucid", "sources")
 
 
 @query(f"{B} SELECT source, count_if(full_capacity_mw > 0)::BIGINT AS n, round(sum(CASE WHEN full_capacity_mw > 0 THEN full_capacity_mw END), 2) AS mw FROM b GROUP BY source")
 def agg_35_capacity_coverage(spark, sf):
-    on = F.col("full_capacity_mw") > 0
-    return buildings(spark, sf).groupBy("source").agg(F.count_if(on).alias("n"), F.round(F.sum(F.when(on, F.col("full_capacity_mw"))), 2).alias("mw"))
+    made = rollup.positive_coverage(buildings(spark, sf), ["full_capacity_mw", "uc_power_mw"], "source").filter("field = 'full_capacity_mw'")
+    return rounded(made.select("source", "n", "mw"), "mw", places=2)
 
 
 @query("SELECT CASE WHEN d IS NULL THEN 'unknown' WHEN d < 0 THEN 'negative' WHEN d < 365 THEN 'under 1 year' WHEN d < 730 THEN '1-2 years' WHEN d < 1095 THEN '2-3 years' WHEN d < 1825 THEN '3-5 years' ELSE '5 years or more' END AS bucket, count(*) AS n FROM (SELECT date_diff('day', o_orderdate::DATE, DATE '1998-01-01') AS d FROM orders) GROUP BY 1")
@@ -177,8 +190,7 @@ def agg_49_case_studies(spark, sf):
 
 @query("SELECT event_type, round(sum(value), 4) AS hours FROM events WHERE date_trunc('week', ts) = DATE '2024-01-15' GROUP BY 1")
 def agg_51_subcategories(spark, sf):
-    e = table(spark, sf, "events").filter(timeseries.week_of("ts") == F.lit("2024-01-15").cast("date"))
-    return e.groupBy("event_type").agg(F.round(F.sum("value"), 4).alias("hours"))
+    return rounded(timeseries.hours_by(table(spark, sf, "events"), "ts", "value", "event_type", "2024-01-18"), "hours")
 
 
 @query("WITH h AS (SELECT user_id::VARCHAR AS task_id, sum(value) AS hours FROM events GROUP BY 1) SELECT c_custkey::VARCHAR AS task_id, round(coalesce(hours, 0), 4) AS hours FROM customer LEFT JOIN h ON task_id = c_custkey::VARCHAR")
@@ -199,44 +211,55 @@ def agg_03_first_wins(spark, sf):
     return o.groupBy(F.col("o_custkey").alias("k")).agg(rollup.first_of("o_orderpriority", ["o_orderkey"]).alias("first_clerk"))
 
 
-@query(f"{B} SELECT count(*) AS rows_all, count_if(region IS NULL)::BIGINT AS no_region, count_if(record_level NOT IN ('Building', 'Campus'))::BIGINT AS odd_level FROM b")
+@query(f"""{B}, x AS (SELECT id % 301 AS ucid, source, CASE WHEN id % 9 > 0 THEN region END AS region, CASE WHEN id % 13 = 0 THEN 'Suite' ELSE record_level END AS record_level, CASE WHEN id % 4 > 0 THEN city END AS state,
+        latitude + CASE WHEN id % 17 = 0 THEN 0.01 ELSE 0 END AS y, latitude, longitude FROM b), m AS (SELECT ucid FROM x GROUP BY 1 HAVING count(DISTINCT source) > 1)
+    SELECT (SELECT count(*) FROM m) AS mixed_source_campuses, count_if(region IS NULL)::BIGINT AS no_region, count_if(record_level = 'Suite')::BIGINT AS odd_level, count_if(state IS NULL)::BIGINT AS no_state_name, count_if(abs(y - latitude) > 0.001)::BIGINT AS off_geometry,
+        count_if(latitude = 0 OR longitude = 0 OR latitude IS NULL OR longitude IS NULL)::BIGINT AS unplaced FROM x""")
 def dq_04_known_issues(spark, sf):
-    b = buildings(spark, sf).withColumns({"ucid": F.col("id"), "country": F.lit("x"), "state": F.lit("x"), "state_abbr": F.lit("xx")})
-    return quality.known_issues(b).select(F.lit(b.count()).alias("rows_all"), "no_region", "odd_level")
+    b = buildings(spark, sf)
+    odd = {
+        "ucid": F.col("id") % 301, "region": F.when(F.col("id") % 9 > 0, F.col("region")), "record_level": F.when(F.col("id") % 13 == 0, "Suite").otherwise(F.col("record_level")), "country": F.lit("x"),
+        "state": F.when(F.col("id") % 4 > 0, F.col("city")), "state_abbr": F.lit("xx"), "gold_lat": F.col("latitude") + F.when(F.col("id") % 17 == 0, 0.01).otherwise(0.0), "gold_lon": F.col("longitude"),
+    }
+    return quality.known_issues(b.withColumns(odd))
 
 
 # --- statistics, consensus, windows, sinks
 
 
-@query(f"""{_SIDES}, m AS (SELECT l.full_capacity_mw AS a, r.full_capacity_mw AS b FROM l JOIN r ON l.id + 1 = r.id WHERE l.full_capacity_mw > 0 AND r.full_capacity_mw > 0)
-    SELECT round(avg(abs(a - b) / greatest(a, b)) * 100, 4) AS other, round(avg(abs(a - b) / greatest(a, b)) * 100, 4) AS weighted_mape FROM m""")
+@query(f"""{_SIDES}, m AS (SELECT l.id % 4 AS k, abs(l.full_capacity_mw - r.full_capacity_mw) / greatest(l.full_capacity_mw, r.full_capacity_mw) AS e FROM l JOIN r ON l.id + 1 = r.id WHERE l.full_capacity_mw > 0 AND r.full_capacity_mw > 0),
+    z AS (SELECT avg(CASE WHEN k = 0 THEN e END) * 100 AS h, avg(CASE WHEN k = 1 THEN e END) * 100 AS j, avg(CASE WHEN k > 1 THEN e END) * 100 AS o FROM m)
+    SELECT round(h, 4) AS hyperscaler, round(j, 4) AS major_colo, round(o, 4) AS other, round((coalesce(h * 0.6::DOUBLE, 0) + coalesce(j * 0.3::DOUBLE, 0) + coalesce(o * 0.1::DOUBLE, 0)) / ((h IS NOT NULL)::INT * 0.6::DOUBLE + (j IS NOT NULL)::INT * 0.3::DOUBLE + (o IS NOT NULL)::INT * 0.1::DOUBLE), 4) AS weighted_mape FROM z""")
 def stat_10_tier_weights(spark, sf):
     b = buildings(spark, sf)
-    m = of_source(b, 1).select(F.col("full_capacity_mw").alias("a"), (F.col("id") + 1).alias("k"), F.lit("nobody").alias("company")).join(of_source(b, 2).select(F.col("id").alias("k"), F.col("full_capacity_mw").alias("b")), "k")
-    return rounded(accuracy.tier_weighted_mape(m, "company", "a", "b").select("other", "weighted_mape"), "other", "weighted_mape")
+    company = F.get(F.array(*map(F.lit, ("Google LLC", "Equinix, Inc.", "nobody", "Acme"))), (F.col("id") % 4).cast("int"))
+    m = of_source(b, 1).select(F.col("full_capacity_mw").alias("a"), (F.col("id") + 1).alias("k"), company.alias("company")).join(of_source(b, 2).select(F.col("id").alias("k"), F.col("full_capacity_mw").alias("b")), "k")
+    return rounded(accuracy.tier_weighted_mape(m, "company", "a", "b"), "hyperscaler", "major_colo", "other", "weighted_mape")
 
 
-@query(f"""{B}, d AS (SELECT b.source, min({dist('t', 'b')}) AS d FROM t JOIN b ON {dist('t', 'b')} <= 5000 GROUP BY t.id, b.source)
+@query(f"""{B}, d AS (SELECT b.source, min({dist('t', 'b')}) AS d FROM t JOIN b ON {dist('t', 'b')} <= 50000 GROUP BY t.id, b.source)
     SELECT source, count_if(d <= 100)::BIGINT AS within_100, count_if(d <= 500)::BIGINT AS within_500, count_if(d < 1000)::BIGINT AS under_1km, count_if(d >= 1000 AND d < 3000)::BIGINT AS from_1_to_3km FROM d GROUP BY source""")
 def stat_33_bands(spark, sf):
-    near = spatial.nearest(truth(spark, sf), buildings(spark, sf), 5000.0, per=["right_source"]).withColumnRenamed("right_source", "source")
+    near = spatial.nearest(truth(spark, sf), buildings(spark, sf), 50_000.0, per=["right_source"]).withColumnRenamed("right_source", "source")
     made = stats.within("distance_m") | stats.bands("distance_m")
     return near.groupBy("source").agg(*(made[k].alias(k) for k in ("within_100", "within_500", "under_1km", "from_1_to_3km")))
 
 
 @query(f"""{B}, p AS (SELECT company_clean, sum(full_capacity_mw) OVER (PARTITION BY company_clean) AS total, full_capacity_mw AS v FROM b) SELECT company_clean, round(avg(v / total), 6) AS share FROM p GROUP BY 1""")
 def stat_35_campus_share(spark, sf):
-    from pyspark.sql import Window
+    return rounded(rollup.campus_share(buildings(spark, sf), "company_clean", "full_capacity_mw"), "share", places=6)
 
-    b = buildings(spark, sf).withColumn("total", F.sum("full_capacity_mw").over(Window.partitionBy("company_clean")))
-    return b.groupBy("company_clean").agg(F.round(F.avg(F.col("full_capacity_mw") / F.col("total")), 6).alias("share"))
 
-
-@query(f"""{B} SELECT id % 400 AS ucid, array_to_string(list_sort(list(DISTINCT source)), ',') AS with_data FROM b WHERE floor(full_capacity_mw) <> 0 GROUP BY 1""")
+@query(f"""{B}, m AS (SELECT id % 400 AS ucid, source, max(floor(full_capacity_mw)) AS mw FROM b WHERE floor(full_capacity_mw) <> 0 GROUP BY 1, 2)
+    SELECT ucid, array_to_string(list_sort(list(DISTINCT source)), ',') AS with_data, max(CASE WHEN source = 'Semianalysis' THEN mw END)::DOUBLE AS semi_mw, max(CASE WHEN source = 'Semianalysis' THEN 2 END)::INT AS semi_rank, max(CASE WHEN source = 'DataCenterHawk' THEN mw END)::DOUBLE AS hawk_mw FROM m GROUP BY 1""")
 def con_03_details(spark, sf):
     b = buildings(spark, sf).withColumns({"ucid": F.col("id") % 400, "full_capacity_mw": F.floor("full_capacity_mw").cast("double")}).select("ucid", "source", "full_capacity_mw").filter("full_capacity_mw <> 0").groupBy("ucid", "source").agg(F.max("full_capacity_mw").alias("full_capacity_mw"))
     made = b.groupBy("ucid").agg(consensus.details_json(b).alias("j"))
-    return made.select("ucid", F.array_join(F.json_object_keys("j"), ",").alias("with_data"))
+    value = lambda path, kind: F.get_json_object("j", f"$.{path}").cast(kind)
+    return made.select(
+        "ucid", F.array_join(F.json_object_keys("j"), ",").alias("with_data"), value("Semianalysis.values.full_capacity_mw", "double").alias("semi_mw"), value("Semianalysis.rank", "int").alias("semi_rank"),
+        value("DataCenterHawk.values.full_capacity_mw", "double").alias("hawk_mw"),
+    )
 
 
 @query(f"{B}, f AS (SELECT id % 50 AS ucid, source, max(id) AS i FROM b GROUP BY 1, 2) SELECT ucid, f.source, b.city FROM f JOIN b ON b.id = f.i")
@@ -245,13 +268,10 @@ def con_05_last_per_source(spark, sf):
     return consensus.per_source(b).select("ucid", "source", "city")
 
 
-@query("SELECT o_custkey, count(*) AS n, min(o_orderkey) AS first FROM orders GROUP BY 1 HAVING count(*) > 15")
+@query("WITH w AS (SELECT o_orderkey AS id, o_custkey AS ucid, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderpriority, o_orderkey) AS n FROM orders) SELECT id, ucid || '-' || CASE WHEN n < 10 THEN '0' ELSE '' END || n AS building_ucid FROM w")
 def win_03_ordinals(spark, sf):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    o = table(spark, sf, "orders").withColumns({"i": F.row_number().over(w), "n": F.count("*").over(Window.partitionBy("o_custkey"))})
-    return o.filter("i = 1 AND n > 15").select("o_custkey", "n", F.col("o_orderkey").alias("first"))
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("string").alias("ucid"), F.col("o_totalprice").alias("commissioned_power_mw"), F.col("o_orderpriority").alias("source"))
+    return clusters.building_ids(o).select("id", "building_ucid")
 
 
 @query("SELECT round(c_acctbal, 6) AS v, c_custkey FROM customer")
@@ -279,8 +299,7 @@ def sink_02_without_feed(spark, sf):
 
 @query("SELECT c_mktsegment, count(*) AS n, count(DISTINCT c_nationkey) AS nations FROM customer GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3")
 def sort_03_top_values(spark, sf):
-    c = table(spark, sf, "customer")
-    return c.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.countDistinct("c_nationkey").alias("nations")).orderBy(F.desc("n"), "c_mktsegment").limit(3)
+    return rollup.top_values(table(spark, sf, "customer"), "c_mktsegment", 3, F.countDistinct("c_nationkey").alias("nations"))
 
 
 @query(f"{B}, x AS (SELECT id FROM b WHERE lower(campus_name) LIKE '%00012%') SELECT id FROM x")

@@ -6,6 +6,7 @@ company and capacities. It is written once, in SQL that both engines read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F
 
 from lodeframe.functions import config as C
 from lodeframe.functions import scalars as S
-from lodeframe.functions import stats
 from lodeframe.operators import accuracy, clusters, consensus, land, matching, quality, rollup, spatial, timeseries
 from lodeframe.sources import readers, sinks
 
@@ -219,10 +219,10 @@ def join_18_nearest_company(spark, sf):
     return near.select("left_id", "right_id", F.round("distance_m", 3).alias("distance_m"))
 
 
-@query(f"""{WITH_B.replace('RECURSIVE ', '')}, d AS (SELECT t.id AS left_id, b.source, b.id AS right_id, {dist('t', 'b')} AS d FROM t JOIN b ON {dist('t', 'b')} <= 5000)
+@query(f"""{WITH_B.replace('RECURSIVE ', '')}, d AS (SELECT t.id AS left_id, b.source, b.id AS right_id, {dist('t', 'b')} AS d FROM t JOIN b ON {dist('t', 'b')} <= 50000)
     SELECT left_id, source, arg_min(right_id, struct_pack(d := d, i := right_id)) AS right_id, round(min(d), 3) AS distance_m FROM d GROUP BY left_id, source""")
 def join_19_nearest_per_source(spark, sf):
-    near = spatial.nearest(truth(spark, sf), buildings(spark, sf), 5000.0, per=["right_source"])
+    near = spatial.nearest(truth(spark, sf), buildings(spark, sf), 50_000.0, per=["right_source"])
     return near.select("left_id", F.col("right_source").alias("source"), "right_id", F.round("distance_m", 3).alias("distance_m"))
 
 
@@ -242,20 +242,29 @@ def join_21_point_in_polygon(spark, sf):
     return spatial.point_in_polygon(truth(spark, sf), _squares(spark, sf)).select("id", "polygon_id")
 
 
-@query()
+@query(f"""{WITH_B.replace('RECURSIVE ', '')}, q AS {_BOX}, s AS (SELECT id, latitude, longitude, company_clean AS company FROM t),
+    h AS (SELECT s.id, arg_min(polygon_id, struct_pack(o := (q.company <> s.company)::INT, p := polygon_id)) AS polygon_id FROM s JOIN q ON latitude BETWEEN y0 AND y0 + 0.0062 AND longitude BETWEEN x0 AND x0 + 0.0102 GROUP BY s.id),
+    c AS (SELECT polygon_id AS id, company, y0 + 2 * 0.0062 / 5 AS latitude, x0 + 2 * 0.0102 / 5 AS longitude FROM q),
+    n AS (SELECT s.id, c.id AS polygon_id, {dist('s', 'c')} AS d FROM s JOIN c ON s.company = c.company WHERE s.id NOT IN (SELECT id FROM h))
+    SELECT id, polygon_id, 'polygon' AS method, 0.0::DOUBLE AS distance_m FROM h
+    UNION ALL SELECT id, arg_min(polygon_id, struct_pack(d := d, p := polygon_id)), 'centroid', round(min(d), 3) FROM n WHERE d <= 1000 GROUP BY id""")
 def join_22_parcel_match(spark, sf):
     return spatial.parcel_match(truth(spark, sf).withColumnRenamed("company_clean", "company"), _squares(spark, sf)).select("id", "polygon_id", "method", F.round("distance_m", 3).alias("distance_m"))
 
 
-@query(f"""{WITH_B.replace('RECURSIVE ', '')}, q AS (SELECT id, company_clean AS company, latitude + 0.0004 AS latitude, longitude AS longitude FROM t),
-    d AS (SELECT q.id AS left_id, b.id AS right_id, {dist('q', 'b')} AS d, q.company = b.company_clean AS same FROM q JOIN b ON {dist('q', 'b')} <= 1000),
-    s AS (SELECT *, greatest(0, 1 - d / 1000) * 0.5::DOUBLE + CASE WHEN same THEN 0.3::DOUBLE ELSE 0 END AS c FROM d),
-    f AS (SELECT left_id, right_id, round(d, 1) AS distance_m, same AS company_match, round(CASE WHEN d > 250 AND NOT same THEN c * 0.7::DOUBLE ELSE c END, 3) AS confidence FROM s)
+@query(f"""{WITH_B.replace('RECURSIVE ', '')}, q AS (SELECT id, company_clean AS company, CASE id % 3 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'MACHINERY' END AS city, 'Customer#' || lpad((id + 3)::VARCHAR, 9, '0') AS campus_name,
+        CASE WHEN id % 4 > 0 THEN latitude + 0.0004 END AS latitude, longitude AS longitude FROM t),
+    d AS (SELECT q.id AS left_id, b.id AS right_id, {dist('q', 'b')} AS d, q.company = b.company_clean AS same, CASE WHEN q.campus_name = b.campus_name OR q.city = b.city THEN 1.0::DOUBLE ELSE 0.0 END AS text FROM q JOIN b ON {dist('q', 'b')} <= 1000),
+    s AS (SELECT *, least(1.0, greatest(0, 1 - d / 1000) * 0.5::DOUBLE + CASE WHEN same THEN 0.3::DOUBLE ELSE 0 END + text * 0.2::DOUBLE) AS c FROM d),
+    f AS (SELECT left_id, right_id, round(d, 1) AS distance_m, same AS company_match, round(CASE WHEN d > 250 AND NOT same THEN c * 0.7::DOUBLE ELSE c END, 3) AS confidence, 'SPATIAL' AS match_type FROM s
+        UNION ALL SELECT q.id, b.id, NULL, true, 1.0, 'NAME' FROM q JOIN b ON q.company = b.company_clean AND q.latitude IS NULL AND (q.campus_name = b.campus_name OR q.city = b.city))
     SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY confidence DESC, distance_m, right_id) = 1""")
 def join_25_intake(spark, sf):
-    asked = truth(spark, sf).select("id", F.col("company_clean").alias("company"), F.lit(None).cast("string").alias("city"), F.lit(None).cast("string").alias("campus_name"), (F.col("latitude") + 0.0004).alias("latitude"), "longitude")
+    city = F.when(F.col("id") % 3 == 0, "BUILDING").when(F.col("id") % 3 == 1, "MACHINERY")
+    name = F.concat(F.lit("Customer#"), F.lpad((F.col("id") + 3).cast("string"), 9, "0"))
+    asked = truth(spark, sf).select("id", F.col("company_clean").alias("company"), city.alias("city"), name.alias("campus_name"), F.when(F.col("id") % 4 > 0, F.col("latitude") + 0.0004).alias("latitude"), "longitude")
     known = buildings(spark, sf).select("id", F.col("campus_name").alias("canonical_name"), F.col("company_clean").alias("company"), "city", "latitude", "longitude")
-    return matching.intake_match(asked, known).select("left_id", "right_id", "distance_m", "company_match", "confidence")
+    return matching.intake_match(asked, known).select("left_id", "right_id", "distance_m", "company_match", "confidence", "match_type")
 
 
 @query(f"""{WITH_B.replace('RECURSIVE ', '')}, p AS (SELECT 30.01::DOUBLE AS latitude, -89.97::DOUBLE AS longitude) SELECT b.id, round({dist('p', 'b')}, 3) AS distance_m FROM p JOIN b ON {dist('p', 'b')} <= 1500 ORDER BY {dist('p', 'b')}, b.id LIMIT 10""")
@@ -283,7 +292,7 @@ def join_41_thresholds(spark, sf):
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def join_01_semi(spark, sf):
     big = readers.table(spark, f"{sf}/orders.parquet", ["o_custkey"], "o_totalprice > 300000").withColumnRenamed("o_custkey", "c_custkey")
-    return table(spark, sf, "customer").select("c_custkey", "c_name").join(big, "c_custkey", "left_semi")
+    return matching.in_set(table(spark, sf, "customer").select("c_custkey", "c_name"), big, "c_custkey")
 
 
 @query("SELECT c_custkey AS k, 'left' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'right' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
@@ -364,13 +373,14 @@ def set_01_combined(spark, sf):
 
 @query("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")
 def set_03_intersect(spark, sf):
-    return table(spark, sf, "customer").select(F.col("c_nationkey").alias("k")).intersect(table(spark, sf, "supplier").select("s_nationkey"))
+    c, s = table(spark, sf, "customer").select(F.col("c_nationkey").alias("k")), table(spark, sf, "supplier").select(F.col("s_nationkey").alias("k"))
+    return matching.key_sets(c, s, "k").filter("side = 'both'").select("k")
 
 
 @query("SELECT o_orderkey, round(abs(o_totalprice - 150000), 2) AS delta FROM orders ORDER BY abs(o_totalprice - 150000) DESC, o_orderkey LIMIT 25")
 def sort_01_top_conflicts(spark, sf):
-    o = table(spark, sf, "orders").withColumn("d", F.abs(F.col("o_totalprice") - 150000))
-    return o.orderBy(F.desc("d"), "o_orderkey").limit(25).select("o_orderkey", F.round("d", 2).alias("delta"))
+    o = table(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") - 150000).alias("delta_mw"))
+    return accuracy.top_conflicts(o, "delta_mw", "o_orderkey").select("o_orderkey", F.round(F.abs("delta_mw"), 2).alias("delta"))
 
 
 @query("SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey * 10 + l_linenumber) <= 25")
@@ -385,7 +395,8 @@ def sort_09_best_source(spark, sf):
     return accuracy.best_by_metric(m, "s", ["n"], ["a"])
 
 
-@query()
+@query("""WITH c AS (SELECT c_custkey AS id, c_mktsegment, md5(c_custkey || ':42') AS h FROM customer), r AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY h, id) AS r FROM c)
+    SELECT id, c_mktsegment FROM r ORDER BY (r > CASE c_mktsegment WHEN 'BUILDING' THEN 20 WHEN 'MACHINERY' THEN 10 ELSE 0 END)::INT, h, id LIMIT 50""")
 def samp_01_stratified(spark, sf):
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_mktsegment")
     return timeseries.stratified_sample(c, ["c_mktsegment"], {("BUILDING",): 20, ("MACHINERY",): 10}, size=50)
@@ -447,9 +458,9 @@ def scal_40_first_year(spark, sf):
     return orders_mw(spark, sf).select("id", S.first_mw_year(range(2023, 2029)).alias("first_year"))
 
 
-@query("SELECT l_orderkey, l_linenumber, date_diff('day', o_orderdate::DATE, l_shipdate::DATE)::INT AS days, round(date_diff('day', o_orderdate::DATE, l_shipdate::DATE) / 30.44::DOUBLE, 1) AS months FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1")
+@query("SELECT l_orderkey, l_linenumber, date_diff('day', o_orderdate::DATE, l_shipdate::DATE)::INT AS days, round(date_diff('day', o_orderdate::DATE, l_shipdate::DATE) / 30.44::DOUBLE, 1) AS months FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def scal_43_lag(spark, sf):
-    both = table(spark, sf, "lineitem").filter("l_linenumber = 1").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    both = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     made = S.lag("o_orderdate", "l_shipdate")
     return both.select("l_orderkey", "l_linenumber", made["days"].alias("days"), made["months"].alias("months"))
 
@@ -546,15 +557,22 @@ def agg_31_source_scores(spark, sf):
 
 # --- statistics
 
+
+def _near_truth(spark, sf):
+    """Buildings of all sources within 250 m of a reference row, beside its load."""
+    near = spatial.band_join(truth(spark, sf), buildings(spark, sf), 250.0)
+    return near.select(F.col("left_load").alias("load"), F.col("right_source").alias("source"), F.col("right_full_capacity_mw").alias("full_capacity_mw"))
+
+
 _OK = "a > 0 AND p > 0"
 _ACC = f"""count_if({_OK})::BIGINT AS n, CASE WHEN count_if({_OK}) >= 5 THEN round(avg(abs(a - p) / a) FILTER (WHERE {_OK}) * 100, 4) END AS mape, CASE WHEN count_if({_OK}) >= 5 THEN round(avg(p - a) FILTER (WHERE {_OK}), 4) END AS bias,
     CASE WHEN count_if({_OK}) >= 5 THEN round(sqrt(avg((p - a) * (p - a)) FILTER (WHERE {_OK})), 4) END AS rmse, CASE WHEN count_if({_OK}) >= 5 THEN round(corr(a, p) FILTER (WHERE {_OK}), 6) END AS r"""
 
 
-@query(f"""{WITH_B.replace('RECURSIVE ', '')}, m AS (SELECT b.source, b.full_capacity_mw AS p, t.load AS a FROM b JOIN t ON b.id % 100 + 1 = t.id), s AS (SELECT source, {_ACC} FROM m GROUP BY source)
+@query(f"""{WITH_B.replace('RECURSIVE ', '')}, m AS (SELECT b.source, b.full_capacity_mw AS p, t.load AS a FROM b JOIN t ON {dist('t', 'b')} <= 250), s AS (SELECT source, {_ACC} FROM m GROUP BY source)
     SELECT *, CASE WHEN mape IS NULL THEN 'N/A' WHEN mape <= 10 THEN 'A' WHEN mape <= 20 THEN 'B' WHEN mape <= 35 THEN 'C' WHEN mape <= 50 THEN 'D' ELSE 'F' END AS grade FROM s""")
 def stat_01_accuracy(spark, sf):
-    m = buildings(spark, sf).withColumn("k", F.col("id") % 100 + 1).join(truth(spark, sf).select(F.col("id").alias("k"), "load"), "k")
+    m = _near_truth(spark, sf)
     out = accuracy.accuracy_by(m, ["source"], "load", "full_capacity_mw").select("source", "n", "mape", "bias", "rmse", "r", "grade")
     return rounded(rounded(out, "mape", "bias", "rmse"), "r", places=6)
 
@@ -571,8 +589,7 @@ def stat_09_pair_statistics(spark, sf):
 
 @query("""WITH l AS (SELECT o_orderpriority AS g, list_sort(list(o_totalprice)) AS v FROM orders GROUP BY 1) SELECT g, round(v[len(v) // 4 + 1], 2) AS q1, round(v[3 * len(v) // 4 + 1], 2) AS q3, round(list_median(v), 2) AS median, round(list_stddev_pop(v), 2) AS std FROM l""")
 def stat_05_descriptive(spark, sf):
-    made = stats.descriptive("o_totalprice")
-    out = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("g")).agg(*(made[k].alias(k) for k in ("q1", "q3", "median", "std")))
+    out = accuracy.descriptive(table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "g"), "o_totalprice", ["g"]).select("g", "q1", "q3", "median", "std")
     return rounded(out, "q1", "q3", "median", "std", places=2)
 
 
@@ -581,13 +598,13 @@ def stat_26_histogram(spark, sf):
     return accuracy.histogram(table(spark, sf, "orders"), "o_totalprice", [0, 1000, 50000, 200000, 900000])
 
 
-_NEAR = f"""{WITH_B.replace('RECURSIVE ', '')}, d AS (SELECT t.id, t.region, b.source, min({dist('t', 'b')}) AS d FROM t JOIN b ON {dist('t', 'b')} <= 800 GROUP BY ALL)"""
+_NEAR = f"""{WITH_B.replace('RECURSIVE ', '')}, d AS (SELECT t.id, t.region, b.source, min({dist('t', 'b')}) AS d FROM t JOIN b ON {dist('t', 'b')} <= 50000 GROUP BY ALL)"""
 
 
 @query(f"""{_NEAR}, s AS (SELECT source, count(*) AS n, median(d) AS median, quantile_cont(d, 0.9) AS p90, count_if(d <= 100)::BIGINT AS within_100, stddev_samp(d) AS std FROM d GROUP BY source), o AS (SELECT source, median(abs(d - median)) AS mad FROM d JOIN s USING (source) GROUP BY source)
     SELECT source, n, round(median, 3) AS median, round(p90, 3) AS p90, within_100, round(std, 3) AS std, round(mad, 3) AS mad, round(n / (SELECT count(*) FROM t)::DOUBLE * 100, 1) AS recall FROM s JOIN o USING (source)""")
 def stat_19_spatial_accuracy(spark, sf):
-    out = accuracy.spatial_accuracy(truth(spark, sf), buildings(spark, sf).select("id", "source", "latitude", "longitude"), 800.0).filter("n > 0")
+    out = accuracy.spatial_accuracy(truth(spark, sf), buildings(spark, sf).select("id", "source", "latitude", "longitude"))
     return rounded(out.select("source", "n", "median", "p90", "within_100", "std", "mad", "recall"), "median", "p90", "std", "mad", places=3)
 
 
@@ -595,21 +612,30 @@ def stat_19_spatial_accuracy(spark, sf):
     SELECT region, source, total, coalesce(found, 0) AS found, round(median, 3) AS median, round(100 * coalesce(found, 0) / total::DOUBLE, 1) AS recall FROM p LEFT JOIN f USING (region, source)""")
 def agg_59_regional_recall(spark, sf):
     t = truth(spark, sf)
-    near = spatial.nearest(t, buildings(spark, sf), 800.0, per=["right_source"]).select(F.col("left_id").alias("id"), F.col("left_region").alias("region"), F.col("right_source").alias("source"), "distance_m")
+    near = spatial.nearest(t, buildings(spark, sf), 50_000.0, per=["right_source"]).select(F.col("left_id").alias("id"), F.col("left_region").alias("region"), F.col("right_source").alias("source"), "distance_m")
     return rounded(accuracy.regional_recall(t, near).select("region", "source", "total", "found", "median", "recall"), "median", places=3)
 
 
-@query(f"""{WITH_B.replace('RECURSIVE ', '')}, m AS (SELECT b.source, b.full_capacity_mw AS p, t.load AS a FROM b JOIN t ON b.id % 100 + 1 = t.id), g(factor) AS (VALUES (1.0::DOUBLE), (1.3::DOUBLE))
+@query(f"""{WITH_B.replace('RECURSIVE ', '')}, m AS (SELECT b.source, b.full_capacity_mw AS p, t.load AS a FROM b JOIN t ON {dist('t', 'b')} <= 250), g(factor) AS (VALUES (1.0::DOUBLE), (1.3::DOUBLE))
     SELECT source, factor, count_if(a > 0 AND p > 0)::BIGINT AS n, CASE WHEN count_if(a > 0 AND p > 0) >= 3 THEN round(avg(CASE WHEN a > 0 AND p > 0 THEN abs(a - p / factor) / a END) * 100, 4) END AS mape, round(avg(CASE WHEN a > 0 AND p > 0 THEN p / factor / a END), 4) AS ratio FROM m, g GROUP BY source, factor""")
 def stat_29_variance_grid(spark, sf):
-    m = buildings(spark, sf).withColumn("k", F.col("id") % 100 + 1).join(truth(spark, sf).select(F.col("id").alias("k"), "load"), "k").withColumn("build_status", F.lit("x"))
+    m = _near_truth(spark, sf).withColumn("build_status", F.lit("x"))
     return rounded(accuracy.variance_grid(m, "load", ["full_capacity_mw"], [1.0, 1.3], ["all"]).select("source", "factor", "n", "mape", "ratio"), "mape", "ratio")
 
 
-@query()
+def _uniform(text: str) -> str:
+    return f"((('0x' || substr(md5({text}), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
+
+
+_POISSON = " + ".join(f"(u > {sum(math.exp(-1) / math.factorial(j) for j in range(k))!r}::DOUBLE)::INT" for k in range(1, 13))
+
+
+@query(f"""WITH r AS (SELECT floor({_uniform("o_orderkey || ':row:42'")} * 1024)::INT AS block, o_totalprice AS v FROM orders), k AS (SELECT block, sum(v) AS s, count(*) AS c FROM r GROUP BY 1),
+    d AS (SELECT *, {_uniform("block || ':' || b || ':42'")} AS u FROM k, range(1, 1001) g(b)), n AS (SELECT *, {_POISSON} AS n FROM d), m AS (SELECT b, sum(s * n) / sum(c * n) AS m FROM n GROUP BY b)
+    SELECT round(avg(m), 3) AS mean, round(quantile_cont(m, 0.025), 3) AS low, round(quantile_cont(m, 0.975), 3) AS high FROM m""")
 def stat_12_bootstrap(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("v"))
-    return accuracy.bootstrap(o, "v")
+    return rounded(accuracy.bootstrap(o, "v"), "mean", "low", "high", places=3)
 
 
 @query(f"""{WITH_B.replace('RECURSIVE ', '')}, p AS (SELECT city AS ucid, source, sum(full_capacity_mw) AS mw FROM b WHERE city IS NOT NULL GROUP BY 1, 2), c AS (SELECT ucid, count(*) AS n, stddev_pop(CASE WHEN mw > 0 THEN mw END) / avg(CASE WHEN mw > 0 THEN mw END) * 100 AS cv FROM p GROUP BY 1)
@@ -703,6 +729,12 @@ def sink_14_update(spark, sf):
     return sinks.updated(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), o, "c_custkey", ["c_mktsegment"])
 
 
-@query()
+@query("""SELECT s_suppkey AS id, 'Feature' AS kind, 'Point' AS shape, round(-90 + (s_suppkey % 41) * 0.0013::DOUBLE, 6) AS x, round(30 + (s_suppkey % 37) * 0.0011::DOUBLE, 6) AS y, n_name AS company, round(s_acctbal, 2) AS load
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
 def sink_22_geojson(spark, sf):
-    return sinks.geojson(truth(spark, sf))
+    """Features as written, read again field by field."""
+    part = lambda path, kind="string": F.get_json_object("value", f"$.{path}").cast(kind)
+    return sinks.geojson(truth(spark, sf)).select(
+        part("properties.id", "long").alias("id"), part("type").alias("kind"), part("geometry.type").alias("shape"), part("geometry.coordinates[0]", "double").alias("x"), part("geometry.coordinates[1]", "double").alias("y"),
+        part("properties.company_clean").alias("company"), F.round(part("properties.load", "double"), 2).alias("load"),
+    )

@@ -106,6 +106,16 @@ def points(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> Data
     return df.withColumns({"latitude": F.col(lat).try_cast("double"), "longitude": F.col(lon).try_cast("double")}).filter("latitude IS NOT NULL AND longitude IS NOT NULL")
 
 
+def service_features(df: DataFrame, attributes: str, column: str = "value") -> DataFrame:
+    """Features of a layer service's answers, one JSON page per row: attributes (a schema) with latitude and longitude, null without a geometry.
+
+    Fetching the pages is left to the caller, which has the network; they may be files read by spark.read.text(wholetext=True).
+    """
+    shape = f"features array<struct<attributes:struct<{attributes}>,geometry:struct<x:double,y:double>>>"
+    f = df.select(F.explode(F.from_json(column, shape)["features"]).alias("f"))
+    return f.select("f.attributes.*", F.col("f.geometry.y").alias("latitude"), F.col("f.geometry.x").alias("longitude"))
+
+
 def polygons(df: DataFrame, wkt: str = "geometry_wkt") -> DataFrame:
     return with_rings(df, wkt)
 

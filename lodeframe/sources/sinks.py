@@ -110,13 +110,19 @@ def geojson(df: DataFrame) -> DataFrame:
     return placed.select(F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*rest).alias("properties"))).alias("value"))
 
 
+#: Features that one document may hold.
+MOST_FEATURES = 100_000
+
+
 def export_geojson(df: DataFrame, path: str) -> None:
     """Newline-delimited features: written in parallel, no document has to fit one task."""
     geojson(df).write.mode("overwrite").text(path)
 
 
 def feature_collection(df: DataFrame, name: str) -> str:
-    """One GeoJSON document, for small layers."""
+    """One GeoJSON document, made on the driver, for small layers; more than MOST_FEATURES rows raise: use export_geojson."""
+    if df.limit(MOST_FEATURES + 1).count() > MOST_FEATURES:
+        raise ValueError(f"more than {MOST_FEATURES} features for one document")
     return '{"type":"FeatureCollection","name":"%s","features":[%s]}' % (name, ",".join(r["value"] for r in geojson(df).toLocalIterator()))
 
 
