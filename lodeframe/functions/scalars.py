@@ -550,9 +550,9 @@ def look_up_array(c: Col, table: Mapping[str, Sequence[str]]) -> Column:
     return F.element_at(F.create_map(*(x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v))))), col(c))
 
 
-def pue_adjusted(source: Col, field: str, value: Col) -> Column:
+def pue_adjusted(source: Col, field: str, value: Col, table: Mapping[str, float | None] = C.PUE_FACTORS) -> Column:
     """Value divided by the source's factor, where it has one and the field is adjusted."""
-    factors = {s: f for s, f in C.PUE_FACTORS.items() if f}
+    factors = {s: f for s, f in table.items() if f}
     if field not in C.PUE_FIELDS or not factors:
         return col(value)
     return col(value) / F.coalesce(look_up(source, factors), F.lit(1.0))

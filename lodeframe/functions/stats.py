@@ -46,6 +46,11 @@ def _of(test: Column, value: Column) -> Column:
     return F.when(test, value)
 
 
+def _pearson(x: Column, y: Column) -> Column:
+    """Correlation of pairs; null, not an error, where a side does not vary. x and y must be null together."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def accuracy(actual: Col, predicted: Col, least: int = 5) -> dict[str, Column]:
     """n, mape, mae, bias, bias_pct, rmse and r over pairs above 0; null below `least` pairs."""
     a, p = col(actual), col(predicted)
@@ -57,7 +62,7 @@ def accuracy(actual: Col, predicted: Col, least: int = 5) -> dict[str, Column]:
     return {
         "n": n, "mape": F.when(enough, F.avg(_of(ok, F.abs(d) / a)) * 100), "mae": F.when(enough, F.avg(_of(ok, F.abs(d)))), "bias": F.when(enough, F.avg(_of(ok, d))),
         "bias_pct": F.when(enough, F.avg(_of(ok, d)) / F.avg(_of(ok, a)) * 100), "rmse": F.when(enough, F.sqrt(F.avg(_of(ok, d * d)))),
-        "r": F.when(enough & (n > 2) & ~flat, F.corr(_of(ok, a), _of(ok, p))),
+        "r": F.when(enough & (n > 2) & ~flat, _pearson(_of(ok, a), _of(ok, p))),
     }
 
 
@@ -66,7 +71,7 @@ def correlation(a: Col, b: Col) -> Column:
     ok = col(a).isNotNull() & col(b).isNotNull()
     x, y = _of(ok, col(a)), _of(ok, col(b))
     flat = (F.stddev_pop(x) == 0) | (F.stddev_pop(y) == 0)
-    return F.when(F.count(x) < 2, None).when(flat, 0.0).otherwise(F.corr(x, y))
+    return F.when(F.count(x) < 2, None).when(flat, 0.0).otherwise(_pearson(x, y))
 
 
 def mape_symmetric(a: Col, b: Col) -> Column:

@@ -33,6 +33,11 @@ def capacity_match(matches: DataFrame, truth: DataFrame, level: str = "building"
     return sums.join(truth.groupBy("dc_code").agg(F.sum("it_load_total").alias("actual")), "dc_code")
 
 
+def campus_load(truth: DataFrame) -> DataFrame:
+    """Buildings, summed and largest load per ground-truth campus."""
+    return truth.groupBy("dc_code").agg(F.count("*").alias("buildings"), F.sum("it_load_total").alias("load"), F.max("it_load_total").alias("largest"))
+
+
 def pair_statistics(pairs: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
     """Symmetric MAPE, bias, variation, correlation, agreement and grade of matched pairs."""
     named = S.delta(a, b)

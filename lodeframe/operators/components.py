@@ -9,17 +9,23 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the one that the cluster names, or one of its own where all runs on one machine."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and sc.master.split("[")[0] != "local":
             raise RuntimeError("a cluster must name a shared folder in spark.checkpoint.dir")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lodeframe-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

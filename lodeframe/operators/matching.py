@@ -212,6 +212,11 @@ def in_set(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.limit(FEW + 1).count() <= FEW else ids, key, "left_semi")
 
 
+def unmatched(df: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among those found; rows without a key are unmatched."""
+    return df.join(found.select(key).distinct(), key, "left_anti")
+
+
 def key_sets(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """All distinct keys of both sides with the side they are on: left, right or both. One aggregate, no join."""
     tag = left.select(key, F.lit(1).alias("s")).unionByName(right.select(key, F.lit(2).alias("s"))).filter(F.col(key).isNotNull())

@@ -140,6 +140,17 @@ def campus_share(df: DataFrame, campus: str, value: str) -> DataFrame:
     return df.withColumn("__total", F.sum(value).over(total)).groupBy(campus).agg(F.avg(F.col(value) / F.col("__total")).alias("share"))
 
 
+def state_distribution(df: DataFrame, column: str, top: int = 15) -> DataFrame:
+    """The most frequent states; missing ones and those that are the number 0 are left out."""
+    named = df.filter(F.col(column).isNotNull() & (F.trim(column) != "") & ~F.coalesce(F.col(column).try_cast("double") == 0, F.lit(False)))
+    return value_counts(named, column, top)
+
+
+def layer_summary(df: DataFrame) -> DataFrame:
+    """Rows of the combined layer by level and company label."""
+    return df.groupBy("layer", "company_clean_filter").agg(F.count("*").alias("n"))
+
+
 def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").withColumn("surplus", F.col("n") - 1)
 

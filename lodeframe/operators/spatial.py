@@ -171,6 +171,13 @@ def threshold_overlap(left: DataFrame, right: DataFrame, limits: Sequence[float]
     return long.groupBy("threshold_m").agg(F.count("*").alias("pairs"), F.countDistinct("left_id").alias("left_rows"), F.countDistinct("right_id").alias("right_rows"))
 
 
+def distance_coverage(pairs: DataFrame, distance: str, limits: Sequence[float] = (250, 500, 1000, 2000, 5000)) -> DataFrame:
+    """Per limit: how many distances it covers, and their share. One aggregate."""
+    wide = pairs.agg(F.count(distance).alias("total"), *(F.count_if(F.col(distance) <= x).alias(f"__{i}") for i, x in enumerate(limits)))
+    each = F.array(*(F.struct(F.lit(float(x)).alias("upto"), F.col(f"__{i}").alias("n")) for i, x in enumerate(limits)))
+    return wide.select("total", F.explode(each).alias("e")).select("e.*", F.when(F.col("total") > 0, 100 * F.col("e.n") / F.col("total")).otherwise(0.0).alias("pct"))
+
+
 # --- polygons
 
 

@@ -59,7 +59,8 @@ def ranked(df: DataFrame, by: Sequence[str], value: str, tie: str, buckets: int
     group = Window.partitionBy(*by)
     down = group.orderBy(F.desc(value))
     out = df.withColumns({"rank": F.rank().over(down), "dense_rank": F.dense_rank().over(down), "bucket": F.ntile(buckets).over(group.orderBy(F.desc(value), tie))})
-    return out.withColumn("near_below", F.count("*").over(group.orderBy(value).rangeBetween(-near, Window.currentRow)))
+    span = F.expr(f"count(*) OVER (PARTITION BY {', '.join(by)} ORDER BY {value} RANGE BETWEEN {near}D PRECEDING AND CURRENT ROW)")
+    return out.withColumn("near_below", span)
 
 
 def task_hours(tasks: DataFrame, log: DataFrame) -> DataFrame:

@@ -66,9 +66,10 @@ def csv_any_encoding(spark: SparkSession, path: str, encodings: Sequence[str] =
     return df
 
 
-def with_file_date(df: DataFrame, pattern: str = r"(\d{4}-\d{2}-\d{2})", name: str = "data_vintage") -> DataFrame:
-    """df with the date in its file's name."""
-    return df.withColumn(name, F.try_to_timestamp(F.regexp_extract(F.col("_metadata.file_name"), pattern, 1), F.lit("yyyy-MM-dd")))
+def with_file_date(df: DataFrame, pattern: str = r"(\d{4}-\d{2}-\d{2})", name: str = "data_vintage", whole_path: bool = False) -> DataFrame:
+    """df with the date in its file's name, or, with whole_path, the first in its path."""
+    text = F.col("_metadata.file_path" if whole_path else "_metadata.file_name")
+    return df.withColumn(name, F.try_to_timestamp(F.regexp_extract(text, pattern, 1), F.lit("yyyy-MM-dd")))
 
 
 def workbook(spark: SparkSession, path: str, sheets: Sequence[str]) -> dict[str, DataFrame]:

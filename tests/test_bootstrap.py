@@ -10,5 +10,5 @@ def test_query_takes_all_resamples(spark, tmp_path):
     orders = spark.read.parquet(str(tmp_path / "orders.parquet")).select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("v"))
     got = Q.QUERIES["stat_12_bootstrap"](spark, str(tmp_path)).first()
     whole, few = accuracy.bootstrap(orders, "v", resamples=1000).first(), accuracy.bootstrap(orders, "v", resamples=20).first()
-    assert [round(x, 9) for x in got] == [round(x, 9) for x in whole]
-    assert [round(x, 9) for x in got] != [round(x, 9) for x in few]
+    assert list(got) == [round(x, 3) for x in whole]
+    assert list(got) != [round(x, 3) for x in few]

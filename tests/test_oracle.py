@@ -5,7 +5,7 @@ import glob
 import duckdb
 import pytest
 
-from lodeframe.plans import case_queries, feed_queries  # noqa: F401
+from lodeframe.plans import case_queries, check_queries, feed_queries, io_queries  # noqa: F401
 from lodeframe.plans import queries as Q
 from verify import rows_of
 
