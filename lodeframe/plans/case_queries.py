@@ -1,4 +1,7 @@
-"""Scalar functions over the customer table: inputs picked from short lists by key, expected values in the SQL."""
+"""Scalar functions over the customer table: inputs picked from short lists by key; the SQL works the result out anew, or, for a few parsers, lists it.
+
+Each list is also a test by itself: the expected values beside the inputs must be what both engines give.
+"""
 
 from __future__ import annotations
 
@@ -21,6 +24,81 @@ def _lit(v) -> str:
     return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else f"{v}::DOUBLE" if isinstance(v, float) else str(v)
 
 
+def _quoted(words) -> str:
+    return ", ".join(_lit(w) for w in words)
+
+
+def _any(text: str, words) -> str:
+    return " OR ".join(f"contains({text}, {_lit(w)})" for w in words)
+
+
+def _either(text: str, words) -> str:
+    return " OR ".join(f"contains({text}, {_lit(w)}) OR contains({_lit(w)}, {text})" for w in words)
+
+
+def _first(text: str, table, otherwise: str = "NULL") -> str:
+    return "CASE " + " ".join(f"WHEN {_any(text, words)} THEN {_lit(label)}" for label, words in table) + f" ELSE {otherwise} END"
+
+
+def _map(text: str, table, otherwise: str = "NULL") -> str:
+    return f"CASE {text} " + " ".join(f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in table.items()) + f" ELSE {otherwise} END"
+
+
+def _ladder(value: str, how: str, steps) -> str:
+    return f"CASE WHEN {value} IS NULL THEN 'N/A' " + " ".join(f"WHEN {value} {how} {x} THEN '{g}'" for x, g in steps) + " ELSE 'F' END"
+
+
+_U, _L, _T, _OTHER = "upper(trim(a0))", "lower(a0)", "trim(a0)", _lit(C.OTHER_COLO)
+_NORM = lambda c: _map(f"lower(trim({c}))", C.COMPANY_VARIATIONS, f"lower(trim({c}))")
+_UP15 = lambda c, n: f"substr(coalesce(regexp_replace(upper({c}), '[^A-Z0-9]+', '', 'g'), ''), 1, {n})"
+_TOP = "greatest(coalesce(a0, 0), coalesce(a1, 0))"
+_GAP = "(coalesce(a0, 0) - coalesce(a1, 0))"
+_PCT = f"(CASE WHEN {_TOP} > 0 THEN abs({_GAP}) / {_TOP} * 100 ELSE 0 END)"
+_CANON = {n.lower(): k for k, names in C.COMPANY_NAMES.items() for n in names.split("|")}
+#: The functions once more, over the inputs a0, a1, ... of a row.
+SQL = {
+    "scal_05_slug_hyphen": r"coalesce(trim(regexp_replace(replace(lower(trim(a0)), '&', ' and '), '[^a-z0-9]+', '-', 'g'), '-'), '')",
+    "scal_06_slug_word": r"coalesce(trim(regexp_replace(regexp_replace(lower(trim(a0)), '[^\w\s-]', '', 'g'), '[-\s]+', '-', 'g'), '-'), '')",
+    "scal_15_filter": f"CASE WHEN a0 IN ({_quoted(C.FILTER_HYPERSCALERS)}) THEN a0 ELSE {_OTHER} END",
+    "scal_16_filter_substring": "CASE " + " ".join(f"WHEN {_either(_U, [h.upper()])} THEN {_lit(h)}" for h in C.HYPERSCALERS) + f" ELSE {_OTHER} END",
+    "scal_17_tier": f"CASE WHEN coalesce(a0, '') = '' THEN 'other' WHEN {_either(_U, [h.upper() for h in C.HYPERSCALERS])} THEN 'hyperscaler' WHEN {_either(_U, [h.upper() for h in C.MAJOR_COLO])} THEN 'major_colo' ELSE 'other' END",
+    "scal_18_tier_contains": f"CASE WHEN {_any(_U, [h.upper() for h in C.HYPERSCALERS])} THEN 'hyperscaler' WHEN {_any(_U, [h.upper() for h in C.MAJOR_COLO])} THEN 'major_colo' ELSE 'other' END",
+    "scal_19_alias": f"CASE WHEN coalesce(a0, '') = '' THEN NULL ELSE coalesce({_first('lower(trim(a0))', C.MATCH_ALIASES)}, trim(replace(replace(translate(lower(trim(a0)), ',.', ''), ' inc', ''), ' llc', ''))) END",
+    "scal_24_parent": _first(_L, C.PARENT_ALIASES), "scal_24_developer": _first(_L, C.DEVELOPER_ALIASES),
+    "scal_25_status_category": _first("lower(trim(a0))", C.STATUS_CATEGORIES, "'Unknown'"),
+    "scal_26_granularity": "coalesce(" + ", ".join(f"CASE WHEN contains(lower({c}), 'campus') THEN 'Campus' WHEN contains(lower({c}), 'building') THEN 'Building' WHEN {_any(f'lower({c})', ('suite', 'unit', 'cage'))} THEN 'Suite' END" for c in ("a0", "a1")) + ", 'Unknown')",
+    "scal_27_company_match": f"coalesce(a0 <> '' AND a1 <> '' AND ({_NORM('a0')}) = ({_NORM('a1')}), false)",
+    "scal_28_safe_double": "try_cast(trim(a0) AS DOUBLE)", "scal_29_safe_text": "CASE WHEN trim(a0) NOT IN ('', 'nan', 'None') THEN substr(trim(a0), 1, 3) END",
+    "scal_30_cost": "CASE WHEN trim(a0) NOT IN ('', 'None', 'NULL') THEN try_cast(replace(regexp_replace(a0, '[^0-9,.]', '', 'g'), ',', '') AS DOUBLE) END",
+    "scal_31_square_feet": "CASE WHEN trim(a0) IN ('', 'None', 'NULL', '0') THEN NULL WHEN contains(upper(a0), 'M') THEN try_cast(regexp_replace(a0, '[^0-9.]', '', 'g') AS DOUBLE) * 1000000 ELSE try_cast(replace(trim(a0), ',', '') AS DOUBLE) END",
+    "scal_32_organisation": r"CASE WHEN coalesce(a0, '') = '' THEN 'Unknown' ELSE coalesce(CASE WHEN contains(split_part(a0, '|', 1), 'Meta') THEN 'Meta' WHEN contains(split_part(a0, '|', 1), 'Oracle') THEN 'Oracle' WHEN contains(split_part(a0, '|', 1), 'OpenAI') THEN 'OpenAI' END, trim(regexp_replace(trim(split_part(a0, '|', 1)), '\s*\([^)]*\)', '', 'g'))) END",
+    "scal_34_map_name": "CASE WHEN contains(a0, ' - Building') THEN trim(split_part(a0, ' - Building', 1)) WHEN suffix(trim(a0), ' Campus') THEN trim(left(trim(a0), -7)) WHEN suffix(trim(a0), ' Data Center') THEN trim(left(trim(a0), -12)) WHEN trim(a0) <> '' THEN trim(a0) END",
+    "scal_38_year_end": "CASE WHEN try_cast(a0 AS DOUBLE) > 1900 THEN floor(try_cast(a0 AS DOUBLE))::INT || '-12-31' END",
+    "scal_39_quarter": r"coalesce(2000 + try_cast(nullif(regexp_extract(upper(trim(a0)), '^Q\d(\d{2})$', 1), '') AS INT), try_cast(nullif(regexp_extract(upper(trim(a0)), '^Q\d(\d{4})$', 1), '') AS INT), try_cast(nullif(regexp_extract(upper(trim(a0)), '^PRE-(\d+)$', 1), '') AS INT), 1999)",
+    "scal_44_price_per_acre": "CASE WHEN a1 > 0 THEN round(a0 / a1, 2) END",
+    "scal_46_country_region": _map("a0", C.COUNTRY_REGION), "scal_49_state_code": f"CASE WHEN length(trim(a0)) = 2 THEN upper(trim(a0)) ELSE {_map('trim(a0)', C.US_STATES)} END",
+    "scal_50_region_name": f"coalesce({_map('trim(a0)', C.REGION_NAMES)}, {_map('(' + _map('trim(a1)', C.COUNTRIES, 'trim(a1)') + ')', C.COUNTRY_REGION)})",
+    "scal_52_owner_filter": f"coalesce({_first(_L, C.OWNER_KEYWORDS)}, {_map('a1', C.OWNER_TYPES)}, {_OTHER})", "scal_53_developer_filter": _first(_L, C.DEVELOPER_KEYWORDS, _OTHER),
+    "scal_54_clean_id": "replace(replace(a0, 'or:data_center:', ''), ':', '_')",
+    "scal_56_parcel_id": f"concat_ws('_', 'ACRES', {_UP15('a0', 8)}, {_UP15('a1', 2)}, {_UP15('a2', 8)}, lpad(a3::VARCHAR, 4, '0'))",
+    "scal_57_cluster_label": "concat_ws('|', split_part(a0, '-', 1), CASE WHEN len(string_split(a0, '-')) > 2 THEN array_to_string(string_split(a0, '-')[2:len(string_split(a0, '-')) - 1], '-') END)",
+    "scal_59_notes": "nullif(concat_ws(' | ', CASE WHEN trim(a0) <> '' THEN 'Onsite: ' || a0 || ' MW' END, CASE WHEN trim(a1) <> '' THEN 'Precision: ' || a1 END), '')",
+    "scal_61_heat": "CASE WHEN a0 = 0 THEN 'heat-0' WHEN a0 < 1 THEN 'heat-1' WHEN a0 < 2 THEN 'heat-2' WHEN a0 < 4 THEN 'heat-3' WHEN a0 < 6 THEN 'heat-4' ELSE 'heat-5' END",
+    "scal_62_flag": "CASE WHEN a0 IS NULL THEN 'unknown' WHEN a0 > 10 THEN 'fail' WHEN a0 > 7 THEN 'warn' ELSE 'pass' END",
+    "scal_63_owned": "CASE WHEN contains(lower(a0), 'own') THEN 'Owned' WHEN contains(lower(a0), 'lease') OR contains(lower(a0), 'colo') THEN 'Leased' ELSE a0 END",
+    "scal_64_direction": "CASE WHEN abs(a1) > abs(a0) THEN CASE WHEN a1 > 0 THEN 'EAST' ELSE 'WEST' END ELSE CASE WHEN a0 > 0 THEN 'NORTH' ELSE 'SOUTH' END END",
+    "scal_65_hyperscaler_only": f"CASE WHEN ({_map('lower(trim(a0))', _CANON)}) IN ({_quoted(C.FILTER_HYPERSCALERS)}) THEN ({_map('lower(trim(a0))', _CANON)}) ELSE {_OTHER} END",
+    "scal_66_fixed_company": "CASE WHEN a0 = 'Mortenson' THEN 'Meta' ELSE a0 END", "scal_67_fixed_region": _map("a0", C.REGION_REPAIRS, "a0"), "scal_69_backfill": "coalesce(a0, a1)",
+    "pred_05_scope_company": "CASE WHEN a0 <> '' THEN CASE " + " ".join(f"WHEN {_either('lower(trim(a0))', [a.lower() for a in names])} THEN {_lit(k)}" for k, names in C.SCOPE_ALIASES) + " ELSE trim(a0) END END",
+    "stat_13_grade": _ladder("a0", "<=", stats.GRADE_ERROR), "stat_14_grade_strict": _ladder("a0", "<", stats.GRADE_ERROR_STRICT), "stat_15_grade_health": _ladder("a0", ">=", stats.GRADE_HEALTH),
+    "stat_16_grade_score": _ladder("a0", ">=", stats.GRADE_SCORE), "stat_17_grade_consensus": _ladder("a0", ">=", stats.GRADE_CONSENSUS), "stat_18_grade_population": _ladder("a0", ">=", stats.GRADE_POPULATION),
+    "stat_21_spatial_score": "coalesce(a0, 0) * 0.5::DOUBLE + CASE WHEN a1 > 0 THEN least(100, greatest(0, 100 - a1 / 100)) ELSE 0 END * 0.5::DOUBLE",
+    "stat_25_delta": f"concat_ws('|', {_GAP}::DOUBLE::VARCHAR, {_PCT}::DOUBLE::VARCHAR, ({_PCT} >= 20 OR abs({_GAP}) >= 10)::VARCHAR)",
+}
+#: (name, inputs, expected, function, kinds): the lists, for tests.
+LISTS: list[tuple] = []
+
+
 def cases(name: str, inputs: Sequence[tuple], kinds: str, expected: Sequence, kind: str, function: Callable[..., Column]) -> None:
     """Registers a query that applies function to the inputs, one tuple per customer key modulo their number."""
 
@@ -31,7 +109,14 @@ def cases(name: str, inputs: Sequence[tuple], kinds: str, expected: Sequence, ki
         return df.select("c_custkey", function(*(F.col(f"a{j}") for j in range(len(kinds)))).alias("result"))
 
     QUERIES[name] = run
-    ORACLE[name] = f"SELECT c_custkey, (CASE c_custkey % {len(inputs)} " + " ".join(f"WHEN {i} THEN {_lit(e)}" for i, e in enumerate(expected)) + f" END)::{kind} AS result FROM customer"
+    LISTS.append((name, inputs, expected, function, kinds))
+    own = SQL.get(name)
+    if own is None:
+        ORACLE[name] = f"SELECT c_custkey, (CASE c_custkey % {len(inputs)} " + " ".join(f"WHEN {i} THEN {_lit(e)}" for i, e in enumerate(expected)) + f" END)::{kind} AS result FROM customer"
+        return
+    types = {"s": "VARCHAR", "d": "DOUBLE", "i": "INTEGER"}
+    rows = ", ".join("(" + ", ".join([str(i), *(f"{_lit(v)}::{types[k]}" for v, k in zip(row, kinds, strict=True))]) + ")" for i, row in enumerate(inputs))
+    ORACLE[name] = f"SELECT c_custkey, ({own})::{kind} AS result FROM customer JOIN (VALUES {rows}) v(i, {', '.join(f'a{j}' for j in range(len(kinds)))}) ON c_custkey % {len(inputs)} = i"
 
 
 def table_of(name: str, pairs: Sequence[tuple], function: Callable[..., Column], kinds: str = "s", kind: str = "VARCHAR") -> None:

@@ -160,3 +160,16 @@ def test_grades(spark):
 
 def test_quarters(spark):
     assert [one(spark, S.quarter_year("t", F.lit(1999)), t=t) for t in ("Q116", "Q42024", "pre-2013", "x", None)] == [2016, 2024, 2013, 1999, 1999]
+
+
+def test_listed_answers(spark):
+    """The expected values beside the inputs of every listed query, which its SQL works out by itself."""
+    from lodeframe.plans import case_queries as Q
+
+    kinds = {"s": "string", "d": "double", "i": "int"}
+    wrong = []
+    for name, inputs, expected, function, kind in Q.LISTS:
+        rows = spark.createDataFrame([(i, *row) for i, row in enumerate(inputs)], "i int, " + ", ".join(f"a{j} {kinds[k]}" for j, k in enumerate(kind)))
+        got = {r["i"]: r["result"] for r in rows.select("i", function(*(rows[f"a{j}"] for j in range(len(kind)))).alias("result")).collect()}
+        wrong += [(name, inputs[i], got[i], e) for i, e in enumerate(expected) if got[i] != e]
+    assert not wrong and len(Q.LISTS) >= 57
