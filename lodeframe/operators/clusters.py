@@ -11,6 +11,10 @@ from lodeframe.operators.components import checkpointed, connected_components
 from lodeframe.operators.spatial import band_join, close_cell
 
 
+#: Edges (8 MB) that one task may join to clusters; more are joined by distributed steps.
+FEW_EDGES = 500_000
+
+
 def proximity_clusters(df: DataFrame, metres: float = C.TIGHT_M, block: str = "company_clean") -> DataFrame:
     """df with cluster: the least id of the rows that chains of steps within metres, inside one block, lead to.
 
@@ -24,7 +28,7 @@ def proximity_clusters(df: DataFrame, metres: float = C.TIGHT_M, block: str = "c
     # of other pairs only places count, not rows, and only whether two cells meet
     named = checkpointed(nodes.join(names, [block, "__cell"]).select("id", block, "latitude", "longitude", "__node"))
     pairs = band_join(named, named, metres, [block]).filter(F.col("left___node") < F.col("right___node"))
-    labels = connected_components(pairs.select(F.col("left___node").alias("src"), F.col("right___node").alias("dst")).distinct())
+    labels = connected_components(pairs.select(F.col("left___node").alias("src"), F.col("right___node").alias("dst")).distinct(), few=FEW_EDGES)
     out = df.withColumn("__cell", F.when(place, close_cell(metres))).join(names, [block, "__cell"], "left").join(labels, F.col("__node") == F.col("node"), "left")
     return out.withColumn("cluster", F.coalesce("component", "__node")).select(*df.columns, "cluster")
 

@@ -2,7 +2,8 @@
 
 Each step is two aggregations and two joins on node ids, pre-aggregated before they are shuffled;
 the number of steps grows with the logarithm of the longest chain. Nothing is collected but one
-number per step.
+number per step. A checked small number of edges between whole-number ids may instead be settled by one
+task in arrays, with the same result, as steps would cost more than the edges do.
 """
 
 from __future__ import annotations
@@ -41,14 +42,45 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u != v").distinct()
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_steps: int = 60) -> DataFrame:
+def _in_one_task(e: DataFrame) -> DataFrame:
+    """Components of edges (u > v) by labels that fall to the least neighbour's and then to their own label's."""
+
+    def settled(batches):  # a local function, so that workers need no import of this package
+        import numpy as np
+        import pyarrow as pa
+
+        parts = [(b["u"].to_numpy(), b["v"].to_numpy()) for b in batches if len(b)]
+        if not parts:
+            return
+        u, v = (np.concatenate(x) for x in zip(*parts))
+        ids, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+        u, v = at[: len(u)], at[len(u) :]
+        label = np.arange(len(ids))
+        while True:
+            before = label.copy()
+            low = np.minimum(label[u], label[v])
+            for end in (u, v, label[u], label[v]):  # ends, and the roots that they had, take the lower label
+                np.minimum.at(label, end, low)
+            while (label != label[label]).any():
+                label = label[label]
+            if (label == before).all():
+                break
+        for k in range(0, len(ids), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[k : k + 10_000]), pa.array(ids[label[k : k + 10_000]])], ["node", "component"])
+
+    return e.coalesce(1).mapInArrow(settled, "node long, component long")
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_steps: int = 60, few: int = 0) -> DataFrame:
     """node, component: the least node of each node's component, for all nodes on an edge between two nodes.
 
     Direction, repeats and self-loops don't matter; nodes without another node are left out; edges
-    with a null end are ignored. No edges give no rows.
+    with a null end are ignored. No edges give no rows. few: edges that one task may settle.
     """
     e = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).filter(F.col(src).isNotNull() & F.col(dst).isNotNull() & (F.col("u") != F.col("v")))
     e = checkpointed(e.distinct())
+    if few and dict(e.dtypes) == {"u": "bigint", "v": "bigint"} and e.limit(few + 1).count() <= few:
+        return checkpointed(_in_one_task(e))
     mark = None
     for _ in range(max_steps):
         e = checkpointed(_star(_star(e, True), False))

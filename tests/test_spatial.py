@@ -70,9 +70,11 @@ def test_components_against_union_find(spark):
     for a, b in edges:
         x, y = find(a), find(b)
         parent[max(x, y)] = min(x, y)
-    got = {x["node"]: x["component"] for x in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
-    assert got == {x: find(x) for x in parent if any(x in e and e[0] != e[1] for e in edges)}
-    assert connected_components(spark.createDataFrame([(1, 1), (None, 2)], "src long, dst long")).count() == 0
+    want = {x: find(x) for x in parent if any(x in e and e[0] != e[1] for e in edges)}
+    for few in (0, 10, 1000):  # by steps, too many for one task, in one task
+        got = {x["node"]: x["component"] for x in connected_components(spark.createDataFrame(edges, "src long, dst long"), few=few).collect()}
+        assert got == want
+        assert connected_components(spark.createDataFrame([(1, 1), (None, 2)], "src long, dst long"), few=few).count() == 0
 
 
 def test_greedy_against_the_ordered_pass(spark):
