@@ -44,7 +44,7 @@ def pred_11_campus_lookup(spark, sf):
     u AS (SELECT x.company_clean AS company, 1 AS pair, same::INT AS same, agree::INT AS agree, CASE WHEN same THEN x.full_capacity_mw END AS lm, CASE WHEN same THEN y.full_capacity_mw END AS rm, CASE WHEN same AND sig THEN d END AS c, 0 AS lo, 0 AS ro FROM s
         UNION ALL SELECT company_clean, 0, NULL, NULL, CASE WHEN record_level = 'Building' THEN full_capacity_mw END, NULL, NULL, 1, 0 FROM lo
         UNION ALL SELECT company_clean, 0, NULL, NULL, NULL, CASE WHEN record_level = 'Building' THEN full_capacity_mw END, NULL, 0, 1 FROM ro)
-    SELECT company, sum(pair)::BIGINT AS matched, coalesce(sum(same), 0)::BIGINT AS matched_same_level, count_if(same = 0)::BIGINT AS level_mismatches, count_if(agree = 0)::BIGINT AS company_mismatches, sum(lo)::BIGINT AS left_only, sum(ro)::BIGINT AS right_only,
+    SELECT company, sum(pair)::BIGINT AS matched, coalesce(sum(same), 0)::BIGINT AS matched_same_level, coalesce(count_if(same = 0), 0)::BIGINT AS level_mismatches, coalesce(count_if(agree = 0), 0)::BIGINT AS company_mismatches, sum(lo)::BIGINT AS left_only, sum(ro)::BIGINT AS right_only,
         round(coalesce(sum(lm), 0), 2) AS left_mw, round(coalesce(sum(rm), 0), 2) AS right_mw, count(c) AS conflicts, round(coalesce(avg(c), 0), 3) AS mean_delta_mw FROM u GROUP BY 1""")
 def agg_17_company_analysis(spark, sf):
     found, left_only, right_only, *_ = _found(spark, sf)
@@ -242,7 +242,7 @@ def stat_04_correlation(spark, sf):
 
 
 @query(f"""{B}, d AS (SELECT {dist('x', 'y')} AS d FROM t x JOIN t y ON x.company_clean = y.company_clean AND x.id < y.id), m(upto) AS (VALUES (250.0::DOUBLE), (500.0::DOUBLE), (1000.0::DOUBLE), (2000.0::DOUBLE), (5000.0::DOUBLE))
-    SELECT upto, count_if(d <= upto)::BIGINT AS n, round(100 * count_if(d <= upto) / count(*)::DOUBLE, 4) AS pct FROM d, m GROUP BY 1""")
+    SELECT upto, coalesce(count_if(d <= upto), 0)::BIGINT AS n, coalesce(round(100 * count_if(d <= upto) / nullif(count(d), 0)::DOUBLE, 4), 0) AS pct FROM m LEFT JOIN d ON true GROUP BY 1""")
 def stat_32_buckets(spark, sf):
     return rounded(spatial.distance_coverage(spatial.group_pairs(truth(spark, sf), "company_clean"), "distance_m"), "pct")
 
@@ -393,7 +393,7 @@ def dq_05_feed_audit(spark, sf):
 
 
 @query(f"""{B}, x AS (SELECT id % 301 AS ucid, source, record_level FROM b) SELECT 'levels' AS part, source AS k, count_if(record_level = 'Building')::BIGINT AS n FROM x GROUP BY source
-    UNION ALL SELECT 'cross_source', ucid::VARCHAR, count(DISTINCT source) FROM x GROUP BY ucid HAVING count(DISTINCT source) > 1 UNION ALL SELECT 'orphans', ucid::VARCHAR, 1 FROM (SELECT DISTINCT ucid FROM x) WHERE ucid >= 250 UNION ALL SELECT 'feeds', 'raw', count(*) FROM b""")
+    UNION ALL SELECT 'cross_source', ucid::VARCHAR, count(DISTINCT source) FROM x GROUP BY ucid HAVING count(DISTINCT source) > 1 UNION ALL SELECT 'orphans', ucid::VARCHAR, 1 FROM (SELECT DISTINCT ucid FROM x) WHERE ucid >= 250 UNION ALL SELECT 'orphans', k::VARCHAR, 1 FROM range(250) g(k) WHERE k NOT IN (SELECT ucid FROM x) UNION ALL SELECT 'feeds', 'raw', count(*) FROM b""")
 def dq_06_validation_suite(spark, sf):
     b = buildings(spark, sf).withColumns({"ucid": F.col("id") % 301, "country": F.lit("x"), "state": F.lit("x"), "state_abbr": F.lit("xx")})
     keys = spark.range(250).select(F.col("id").alias("ucid"))
