@@ -164,7 +164,7 @@ def without_company(name: Col, company: Col) -> Column:
 
 def canonical_company(c: Col) -> Column:
     """Canonical name of the first known of |-separated companies, a name before ( counting too; else the first as it is."""
-    exact = {n: k for k, names in C.COMPANY_NAMES.items() for n in names.split("|")}
+    exact = {n: k for k, names in C.COMPANY_NAMES.items() for n in names}
     lower = {n.lower(): k for n, k in exact.items()}
 
     def known(s: Column) -> Column:

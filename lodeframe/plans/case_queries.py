@@ -54,7 +54,7 @@ _UP15 = lambda c, n: f"substr(coalesce(regexp_replace(upper({c}), '[^A-Z0-9]+',
 _TOP = "greatest(coalesce(a0, 0), coalesce(a1, 0))"
 _GAP = "(coalesce(a0, 0) - coalesce(a1, 0))"
 _PCT = f"(CASE WHEN {_TOP} > 0 THEN abs({_GAP}) / {_TOP} * 100 ELSE 0 END)"
-_CANON = {n.lower(): k for k, names in C.COMPANY_NAMES.items() for n in names.split("|")}
+_CANON = {n.lower(): k for k, names in C.COMPANY_NAMES.items() for n in names}
 #: The functions once more, over the inputs a0, a1, ... of a row.
 SQL = {
     "scal_05_slug_hyphen": r"coalesce(trim(regexp_replace(replace(lower(trim(a0)), '&', ' and '), '[^a-z0-9]+', '-', 'g'), '-'), '')",
