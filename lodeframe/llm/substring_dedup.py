@@ -1,8 +1,8 @@
 """Substring dedup over windows of words, with a count-min prefilter.
 
 A window is `size` consecutive words. A word goes when a window that covers it also starts earlier,
-in a document with a smaller id or before it in the same one. Documents are rows: a row key stands beside
-doc_id wherever several rows share one or have none.
+in a document with a smaller id or before it in the same one. Documents are rows: a row key stands for
+doc_id where several rows share one or have none.
 
 Pass 1 counts windows in a sketch. What stands for a window there is its anchor, the block of
 size / 2 words inside it with the least hash: equal windows have equal anchors at equal distances,
@@ -29,14 +29,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeframe.llm.common import ROW, bounded_batches, cut, with_rows
+from lodeframe.llm.common import ROW, bounded_batches, cut, with_own_ids
 from lodeframe.llm.sketch import common_cells, plane, repeated, twice
 from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, utf8, vocabulary, windows
 
 SIZE = 20
 #: Cells per sketch row (two rows): the plane that is sent to tasks has 16 MB.
 SKETCH_BITS = 26
-LAST_ID = 2**63 - 1
 #: Chunks that hold an anchor from which its windows are dealt to parts, and the number of parts.
 COMMON_CHUNKS, PARTS = 20_000, 64
 #: Bits of an anchor's sort key that hold its place in the chunk.
@@ -66,7 +65,7 @@ def _windows(known: Vocabulary, words: list[bytes], counts: np.ndarray, size: in
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes], np.ndarray]]:
     for b in batches:
-        for ids, texts in chunks(list(zip(b["doc_id"].to_pylist(), b[ROW].to_pylist())), b["text"]):
+        for ids, texts in chunks(b[ROW].to_pylist(), b["text"]):
             split = [t.split() for t in texts]
             yield ids, [w for ws in split for w in ws], np.array([len(w) for w in split], np.int64)
 
@@ -81,7 +80,7 @@ def _anchors(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarra
 
 
 #: A first place of a window under its hashes; or, with place -1, a run lo..hi-1 packed into h1. These rows are the bulk of the shuffle.
-SCHEMA = f"h1 long, h2 long, doc_id long, {ROW} long, place int"
+SCHEMA = f"h1 long, h2 long, {ROW} long, place int"
 #: With the part of a very common window, from 1; 0 for others.
 SCHEMA_PARTS = f"{SCHEMA}, part int"
 
@@ -108,10 +107,10 @@ def _candidates(size: int, bits: int, sent: Broadcast, common: np.ndarray | None
         if not len(at):
             continue
         text, place, _ = places(counts)
-        doc, row = np.array([(LAST_ID if i is None else i, r) for i, r in ids], np.int64).T
+        row = np.array(ids, np.int64)
         # texts of the chunk by their rank
-        by = np.lexsort((row, doc))
-        doc, row = doc[by], row[by]
+        by = np.argsort(row, kind="stable")
+        row = row[by]
         rank = np.empty(len(by), np.int64)
         rank[by] = np.arange(len(by))
         text, place = rank[text[at]], place[at]
@@ -126,13 +125,12 @@ def _candidates(size: int, bits: int, sent: Broadcast, common: np.ndarray | None
         columns = [
             pa.array(np.concatenate((signed(h1[new]), lo << 32 | hi))),
             pa.array(np.concatenate((signed(h2[new]), np.zeros(len(rt), np.int64)))),
-            pa.array(doc[np.concatenate((text[new], rt))]),
             pa.array(row[np.concatenate((text[new], rt))]),
             pa.array(np.concatenate((place[new], np.full(len(rt), -1))).astype(np.int32)),
         ]
-        names = ["h1", "h2", "doc_id", ROW, "place"]
+        names = ["h1", "h2", ROW, "place"]
         if common is not None:
-            spread = 1 + (mix((doc[text[new]] * 31 + row[text[new]]).view(np.uint64)) % np.uint64(PARTS)).astype(np.int32)
+            spread = 1 + (mix(row[text[new]].view(np.uint64)) % np.uint64(PARTS)).astype(np.int32)
             part = np.where(common[common_cells(hashes[new])], spread, 0)
             columns.append(pa.array(np.concatenate((part, np.zeros(len(rt), np.int64))).astype(np.int32)))
             names.append("part")
@@ -159,14 +157,11 @@ def _kept(size: int, digest: bool, batches: Iterator[pa.RecordBatch]) -> Iterato
 
 
 def removed_starts(docs: DataFrame, size: int = SIZE, sketch_bits: int = SKETCH_BITS, common_chunks: int = COMMON_CHUNKS) -> DataFrame:
-    """doc_id, ROW, lo, hi: runs of places lo..hi-1 at which a window starts that also starts earlier.
-
-    docs: doc_id, text and ROW; a null doc_id is given as LAST_ID.
-    """
+    """ROW, lo, hi: runs of places lo..hi-1 at which a window starts that also starts earlier. docs: ROW, in the order of documents, and text."""
     bounded_batches(docs.sparkSession)
-    cols = docs.select("doc_id", ROW, "text")
+    cols = docs.select(ROW, "text")
     sent, common = repeated(cols, lambda batches: _anchors(size, batches), sketch_bits, common_from=common_chunks)
-    run, me = F.col("place") < 0, F.struct("doc_id", ROW, "place")
+    run, me = F.col("place") < 0, F.struct(ROW, "place")
 
     def first(*keys: str):
         return F.min(F.when(~run, me)).over(Window.partitionBy("h1", "h2", *keys))
@@ -182,7 +177,7 @@ def removed_starts(docs: DataFrame, size: int = SIZE, sketch_bits: int = SKETCH_
         firsts = left.filter(heads).withColumn("first", first()).filter(F.col("first") != me)
         later = left.filter(~F.coalesce(heads, F.lit(False))).unionByName(firsts)
     return later.select(
-        "doc_id", ROW, F.when(run, F.shiftright("h1", 32)).otherwise(F.col("place")).cast("int").alias("lo"),
+        ROW, F.when(run, F.shiftright("h1", 32)).otherwise(F.col("place")).cast("int").alias("lo"),
         F.when(run, F.col("h1").bitwiseAND(F.lit(2**32 - 1))).otherwise(F.col("place") + 1).cast("int").alias("hi"),
     )
 
@@ -197,12 +192,12 @@ def without_repeats(docs: DataFrame, size: int = SIZE, sketch_bits: int = SKETCH
     Very long texts are cut into words whole; a document's lists of places are bounded by its length.
     Other columns are ignored, whatever their names; an empty table gives an empty result.
     """
-    cols = with_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    cols = with_own_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     # a document's lists are bounded by its length; most runs have one place, which is a number and no struct
     alone = F.col("hi") == F.col("lo") + 1
-    gone = removed_starts(cols, size, sketch_bits, common_chunks).groupBy(F.col("doc_id").alias("of"), F.col(ROW).alias("of_row")).agg(
+    gone = removed_starts(cols, size, sketch_bits, common_chunks).groupBy(ROW).agg(
         F.collect_list(F.when(alone, F.col("lo"))).alias("single"), F.collect_list(F.when(~alone, F.struct("lo", "hi"))).alias("runs")
     )
-    joined = cols.join(gone, (F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("of")) & (F.col(ROW) == F.col("of_row")), "left").select("doc_id", "text", "single", "runs")
+    joined = cols.join(gone, ROW, "left").select("doc_id", "text", "single", "runs")
     out = joined.mapInArrow(lambda batches: _kept(size, digest, batches), "doc_id long, n_words long, n_removed long, kept string")
     return out.withColumnRenamed("kept", "kept_sha256" if digest else "kept_text")
