@@ -38,7 +38,6 @@ WORDS, PERCENT = 5, 80
 SKETCH_BITS = 27
 #: Cells of the counts that give frequency classes (4 MB); classes order shingles, links don't depend on them.
 CLASS_BITS = 22
-LAST_ID = 2**63 - 1
 
 
 def shingle_sets(known: Vocabulary, texts: list[bytes], n: int) -> list[np.ndarray]:

@@ -36,8 +36,8 @@ def _set(plane: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Sketch:
     """depth rows of 2**bits cells."""
 
-    def __init__(self, bits: int, depth: int = 2) -> None:
-        self.bits, self.depth = bits, depth
+    def __init__(self, bits: int, depth: int = 2, common: bool = False) -> None:
+        self.bits, self.depth, self.common = bits, depth, common
         self.once = np.zeros((depth << bits) // 8, np.uint8)
         self.twice = np.zeros_like(self.once)
         self.counts = np.zeros(COMMON_CELLS, np.uint64)
@@ -46,7 +46,8 @@ class Sketch:
         """Count each value once; values are 64-bit hashes. The plain counts take a value once per call, as each call's repeats are settled on the spot."""
         if not len(values):
             return
-        self.counts += np.bincount(common_cells(np.unique(values)), minlength=COMMON_CELLS).astype(np.uint64)
+        if self.common:
+            self.counts += np.bincount(common_cells(np.unique(values)), minlength=COMMON_CELLS).astype(np.uint64)
         for r in range(self.depth):
             cells = np.sort(cells_of(values, self.bits, r))
             new = np.concatenate(([True], cells[1:] != cells[:-1]))
@@ -61,7 +62,7 @@ class Sketch:
     def rows(self, salt: int) -> pa.RecordBatch:
         pack = zstandard.ZstdCompressor(level=1).compress
         shards = [(i, salt, pack(a.tobytes()), pack(b.tobytes())) for i, (a, b) in enumerate(zip(np.split(self.once, SHARDS), np.split(self.twice, SHARDS)))]
-        return _batch([*shards, (COMMON, salt, pack(self.counts.tobytes()), b"")])
+        return _batch([*shards, (COMMON, salt, pack(self.counts.tobytes()), b"")] if self.common else shards)
 
 
 def _batch(rows: list) -> pa.RecordBatch:
@@ -122,7 +123,7 @@ def repeated(
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        sketch = Sketch(bits, depth)
+        sketch = Sketch(bits, depth, common_from is not None)
         for values in values_of(batches):
             sketch.add(values)
         yield sketch.rows(TaskContext.get().partitionId() % SALTS)
