@@ -18,7 +18,7 @@ are asked for.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -29,13 +29,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeframe.llm.common import ROW, bounded_batches, cut, ids_name_rows, select_ids, with_own_ids
-from lodeframe.llm.sketch import cells_of, class_table, frequency_classes, plane, repeated, twice
+from lodeframe.llm.sketch import cells_of, class_table, frequency_classes, plane, repeated, repeated_cells, row_bits, twice
 from lodeframe.llm.textkit import BASES, Vocabulary, chunks, mix, places, signed, vocabulary, windows
 from lodeframe.operators.components import connected_components
 
 WORDS, PERCENT = 5, 80
-#: Cells per sketch row (two rows): the plane that is sent to tasks has 32 MB.
-SKETCH_BITS = 27
+#: Values per cell of the two sketches, as far as their largest size allows. A text of unique shingles is let through by the
+#: first one where 60 % of its sampled shingles seem to repeat; at a load of 0.6, 45 % do.
+SAMPLED_LOAD, FULL_LOAD = 0.6, 0.3
+#: Sampled shingles per byte of text, about.
+SAMPLED_PER_BYTE = 0.08
 #: Cells of the counts that give frequency classes (4 MB); classes order shingles, links don't depend on them.
 CLASS_BITS = 22
 
@@ -81,14 +84,14 @@ def _sampled(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 SETS = "doc_id long, n int, d1 long, d2 long, shingles array<long>"
 
 
-def _sets(n: int, percent: int, bits: int, sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(n: int, percent: int, bits: int, depth: int, sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document; shingles only where a link is possible, and once per distinct set of a chunk (its least id)."""
-    known, seen = vocabulary(), plane(sent, bits)
+    known, seen = vocabulary(), plane(sent, bits, depth)
     for b in batches:
         for ids, texts in chunks(b["doc_id"].to_pylist(), b["text"]):
             sets = shingle_sets(known, texts, n)
             halves = [_half(s) for s in sets]
-            shared = twice(seen, np.concatenate([*halves, np.zeros(0, np.uint64)]), bits)
+            shared = twice(seen, np.concatenate([*halves, np.zeros(0, np.uint64)]), bits, depth)
             once = [int(np.count_nonzero(~x)) for x in np.split(shared, np.cumsum([len(h) for h in halves])[:-1])]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             least: dict[bytes, int] = {}
@@ -117,12 +120,12 @@ def _all(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 MEMBERS = "id long, n int, once int, g1 long, g2 long, places array<int>, prefix array<long>, shingles array<long>"
 
 
-def _ordered(percent: int, bits: int, sent: Broadcast, classes: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ordered(percent: int, bits: int, depth: int, sent: Broadcast, classes: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members that may have links: sizes, shingles that occur once, group key and the rest of the prefix in order."""
-    seen, classes = plane(sent, bits), class_table(classes)
+    seen, classes = plane(sent, bits, depth), class_table(classes)
     for b in batches:
         sets, rows = _lists(b["shingles"]), []
-        shared = np.split(twice(seen, np.concatenate([*sets, np.zeros(0, np.uint64)]), bits), np.cumsum([len(s) for s in sets])[:-1])
+        shared = np.split(twice(seen, np.concatenate([*sets, np.zeros(0, np.uint64)]), bits, depth), np.cumsum([len(s) for s in sets])[:-1])
         for doc_id, s, more in zip(b["doc_id"].to_pylist(), sets, shared):
             once, p = int(np.count_nonzero(~more)), _prefix(len(s), percent)
             if once >= p:
@@ -195,7 +198,7 @@ def links(members: DataFrame, percent: int) -> DataFrame:
     return found.union(more)
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sketch_bits: int | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id.
 
     A-Z are lower-cased, words are [^\\x20\\x09-\\x0D]+, a set holds the distinct shingles of `words` words (all
@@ -216,27 +219,35 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     return found.join(names, ROW).join(names.select(F.col(ROW).alias("__class"), F.col("doc_id").alias("component_id")), "__class").select("doc_id", "n_shingles", "component_id")
 
 
-def _classes(cols: DataFrame, words: int, percent: int, sketch_bits: int) -> DataFrame:
+def _sketch(df: DataFrame, values_of: Callable, bits: int | None, values: Column, load: float) -> tuple[int, int, Broadcast]:
+    """(bits, rows, plane) of what repeats in df: two rows of given bits, or one row as large as the number of values asks for."""
+    if bits is not None:
+        return bits, 2, repeated(df, values_of, bits)[0]
+    bits = row_bits(df.agg(F.sum(values.cast("double"))).first()[0] or 0.0, load)
+    return bits, 1, repeated_cells(df, values_of, bits)
+
+
+def _classes(cols: DataFrame, words: int, percent: int, sketch_bits: int | None) -> DataFrame:
     """near_duplicates() of rows that doc_id tells apart."""
     bounded_batches(cols.sparkSession)
-    sampled, _ = repeated(cols, partial(_sampled, words), sketch_bits)
-    sets = cut(cols.mapInArrow(partial(_sets, words, percent, sketch_bits, sampled), SETS))
+    sampled = _sketch(cols, partial(_sampled, words), sketch_bits, F.octet_length("text") * SAMPLED_PER_BYTE, SAMPLED_LOAD)
+    sets = cut(cols.mapInArrow(partial(_sets, words, percent, *sampled), SETS))
     # one member per distinct set: the least id, whose row holds the set in some chunk
     narrow = sets.select("doc_id", "n", "d1", "d2")
     firsts = cut(narrow.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("member")))
     held = sets.filter("shingles IS NOT NULL").select("doc_id", "d1", "d2", "shingles")
     held = held.join(firsts, ["d1", "d2"]).filter("doc_id = member").dropDuplicates(["d1", "d2"]).select("doc_id", "shingles")
     held = cut(held)
-    full, _ = repeated(held, _all, sketch_bits)
+    full = _sketch(held, _all, sketch_bits, F.size("shingles"), FULL_LOAD)
     classes = frequency_classes(held, _all, CLASS_BITS)
-    members = cut(held.mapInArrow(partial(_ordered, percent, sketch_bits, full, classes), MEMBERS))
+    members = cut(held.mapInArrow(partial(_ordered, percent, *full, classes), MEMBERS))
     classes = cut(connected_components(links(members, percent)))
     firsts = firsts.join(classes, F.col("member") == F.col("node"), "left").select("d1", "d2", F.coalesce("component", "member").alias("class"))
     out = narrow.join(firsts, ["d1", "d2"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sketch_bits: int | None = None) -> DataFrame:
     """The row with the smallest doc_id (null last) of each class, all columns kept; rows that share a doc_id each count.
 
     Rows with a null, empty or blank text link with nothing and stay. Very long texts are compared whole;

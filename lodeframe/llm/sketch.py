@@ -8,7 +8,9 @@ occurs twice is lost; where many cells are taken, more is let through.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -190,4 +192,73 @@ def plane(sent: Broadcast, bits: int, depth: int = 2) -> np.ndarray:
     """The plane in a worker, unpacked for one task and freed with it."""
     open_ = zstandard.ZstdDecompressor().decompress
     size = (depth << bits) // 8 // SHARDS
-    return np.concatenate([np.frombuffer(open_(x), np.uint8) if x else np.zeros(size, np.uint8) for x in sent.value])
+    out = np.zeros(size * SHARDS, np.uint8)  # filled part by part, so that parts and whole are never held at once
+    for i, x in enumerate(sent.value):
+        if x:
+            out[i * size : (i + 1) * size] = np.frombuffer(open_(x), np.uint8)
+    return out
+
+
+#: Bits of a single row that grows with its values: 128 MB in a worker at most.
+LEAST_BITS, MOST_BITS = 20, 30
+#: Cells that a worker holds before it passes them on (32 MB).
+HELD = 1 << 23
+CELLS = "shard int, cells binary"
+
+
+def row_bits(values: float, load: float) -> int:
+    """Bits of a row in which so many values take a share of at most `load` of the cells, as far as MOST_BITS allow."""
+    return min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1.0, values) / load))))
+
+
+def _cell_rows(cells: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Sorted cells by shard, repeats kept, as gaps whose bytes of equal weight stand together."""
+    pack, width = zstandard.ZstdCompressor(level=1).compress, (1 << bits) // SHARDS
+    cells = np.sort(cells)
+    parts = np.split(cells, np.searchsorted(cells, np.arange(1, SHARDS, dtype=np.uint32) * np.uint32(width)))
+    gaps = [np.diff(x - np.uint32(i * width), prepend=np.uint32(0)) for i, x in enumerate(parts)]
+    rows = [(i, pack(g.view(np.uint8).reshape(-1, 4).T.tobytes())) for i, g in enumerate(gaps) if len(g)]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary()))], ["shard", "cells"])
+
+
+def _cell_planes(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    open_, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
+    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for b in batches:
+        for shard, x in zip(b["shard"].to_pylist(), b["cells"]):
+            gaps = np.frombuffer(open_(x.as_py()), np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+            cells = np.cumsum(gaps, dtype=np.uint32)
+            if shard not in held:
+                held[shard] = tuple(np.zeros((1 << bits) // SHARDS // 8, np.uint8) for _ in range(2))
+            once, two = held[shard]
+            new = np.concatenate(([True], cells[1:] != cells[:-1]))
+            if not new.all():
+                at, set_ = _set(two, np.unique(cells[~new]))
+                two[at] |= set_
+            at, set_ = _set(once, cells[new])
+            two[at] |= once[at] & set_
+            once[at] |= set_
+    for shard, (_, two) in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([pack(two.tobytes())], pa.binary())], ["shard", "cells"])
+
+
+def repeated_cells(df: DataFrame, values_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int) -> Broadcast:
+    """As repeated(), in one row of 2**bits cells (plane() and twice() with depth 1).
+
+    Workers pass cells on instead of filling planes of their own, so only the task of a shard holds a part of
+    the row, and what is shuffled follows the number of values (under 2 bytes each), not the size of the row.
+    """
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for values in values_of(batches):
+            held.append(cells_of(values, bits, 0))
+            if sum(map(len, held)) >= HELD:
+                yield _cell_rows(np.concatenate(held), bits)
+                held = []
+        if any(map(len, held)):
+            yield _cell_rows(np.concatenate(held), bits)
+
+    rows = df.mapInArrow(filled, CELLS).repartition(F.col("shard")).mapInArrow(partial(_cell_planes, bits), CELLS).collect()  # SHARDS rows
+    planes = {r["shard"]: bytes(r["cells"]) for r in rows}
+    return df.sparkSession.sparkContext.broadcast([planes.get(i) for i in range(SHARDS)])

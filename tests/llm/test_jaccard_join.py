@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from lodeframe.llm.jaccard_join import keep_first, near_duplicates
 from tests.llm.cases import corpus, docs, words
 
@@ -73,3 +75,20 @@ def test_sizes_at_the_threshold(spark):
         rows += [(10 * k, " ".join(ws[: n + 4])), (10 * k + 1, " ".join(ws[: n * 5 // 4 + 4])), (10 * k + 2, " ".join(ws[: n * 5 // 4 + 4] + ["y"])), (10 * k + 3, " ".join(["z", *ws[: n * 5 // 4 + 4], "z"]))]
     for bits in (8, 16):
         assert result(near_duplicates(docs(spark, rows), sketch_bits=bits)) == model(rows)
+
+
+def test_sketches_grow_with_their_values(spark):
+    from lodeframe.llm.jaccard_join import FULL_LOAD, SAMPLED_LOAD, SAMPLED_PER_BYTE
+    from lodeframe.llm.sketch import MOST_BITS, plane, repeated_cells, row_bits, twice
+
+    # at 6 GB a text of unique shingles must not seem to repeat in 60 % of them
+    for gb in (0.1, 0.5, 3, 6):
+        values = gb * 1e9 * SAMPLED_PER_BYTE
+        assert 1 - 2.718281828 ** (-values / 2 ** row_bits(values, SAMPLED_LOAD)) < 0.5
+    assert row_bits(0, FULL_LOAD) < row_bits(1e8, FULL_LOAD) < row_bits(1e15, FULL_LOAD) == MOST_BITS
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 2**63, 40_000, dtype=np.int64)
+    df = spark.createDataFrame([(int(v),) for v in np.concatenate([values, values[:15_000], values[:10]])], "v long").repartition(5)
+    seen = plane(repeated_cells(df, lambda bs: (b["v"].to_numpy().view(np.uint64) for b in bs), 20), 20, 1)
+    hit = twice(seen, values.view(np.uint64), 20, 1)
+    assert hit[:15_000].all() and hit[15_000:].mean() < 0.1
