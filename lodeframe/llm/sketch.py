@@ -221,7 +221,7 @@ def _cell_rows(cells: np.ndarray, bits: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary()))], ["shard", "cells"])
 
 
-def _cell_planes(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cell_planes(bits: int, times: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     open_, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
     held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for b in batches:
@@ -238,12 +238,12 @@ def _cell_planes(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
             at, set_ = _set(once, cells[new])
             two[at] |= once[at] & set_
             once[at] |= set_
-    for shard, (_, two) in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([pack(two.tobytes())], pa.binary())], ["shard", "cells"])
+    for shard, planes in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([pack(planes[times - 1].tobytes())], pa.binary())], ["shard", "cells"])
 
 
-def repeated_cells(df: DataFrame, values_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int) -> Broadcast:
-    """As repeated(), in one row of 2**bits cells (plane() and twice() with depth 1).
+def repeated_cells(df: DataFrame, values_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int, times: int = 2) -> Broadcast:
+    """As repeated(), in one row of 2**bits cells (plane() and twice() with depth 1); with times=1, the cells of all values.
 
     Workers pass cells on instead of filling planes of their own, so only the task of a shard holds a part of
     the row, and what is shuffled follows the number of values (under 2 bytes each), not the size of the row.
@@ -259,6 +259,6 @@ def repeated_cells(df: DataFrame, values_of: Callable[[Iterator[pa.RecordBatch]]
         if any(map(len, held)):
             yield _cell_rows(np.concatenate(held), bits)
 
-    rows = df.mapInArrow(filled, CELLS).repartition(F.col("shard")).mapInArrow(partial(_cell_planes, bits), CELLS).collect()  # SHARDS rows
+    rows = df.mapInArrow(filled, CELLS).repartition(F.col("shard")).mapInArrow(partial(_cell_planes, bits, times), CELLS).collect()  # SHARDS rows
     planes = {r["shard"]: bytes(r["cells"]) for r in rows}
     return df.sparkSession.sparkContext.broadcast([planes.get(i) for i in range(SHARDS)])

@@ -92,3 +92,36 @@ def test_sketches_grow_with_their_values(spark):
     seen = plane(repeated_cells(df, lambda bs: (b["v"].to_numpy().view(np.uint64) for b in bs), 20), 20, 1)
     hit = twice(seen, values.view(np.uint64), 20, 1)
     assert hit[:15_000].all() and hit[15_000:].mean() < 0.1
+
+
+def test_shingles_are_kept_once_where_sketches_are_full(spark):
+    """Texts without links, all let through: the checkpoint folder gets one copy of their shingles, and a fifth for prefixes."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from lodeframe.llm.common import shared_checkpoints
+
+    r = random.Random(11)
+    n, size = 300, 600
+    rows = [(i, " ".join("%x" % r.randrange(1 << 40) for _ in range(size + 4))) for i in range(n)]
+    shared_checkpoints(spark)
+    folder = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    used = lambda: sum(p.stat().st_size for p in folder.rglob("part-*"))
+    before = used()
+    assert result(near_duplicates(docs(spark, rows), sketch_bits=8)) == {i: (size, i) for i, _ in rows}
+    assert used() - before < 1.7 * 8 * n * size
+
+
+def test_verification_in_rounds(spark, monkeypatch):
+    from lodeframe.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "ROUND", 1)
+    r = random.Random(6)
+    base = ["b%d" % r.randrange(400) for _ in range(120)]
+    rows = []
+    for i in range(60):
+        ws = base[:]
+        for _ in range(r.randrange(0, 6)):
+            ws[r.randrange(120)] = "e%d" % r.randrange(10**6)
+        rows.append((i, " ".join(ws)))
+    assert result(near_duplicates(docs(spark, rows), sketch_bits=18)) == model(rows)
